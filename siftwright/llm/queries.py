@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siftwright.llm import bpe
+from siftwright.llm import bpe, quality_rules, simhash, url_filter
 from siftwright.llm.vocabularies import word_bpe
 
 
@@ -14,12 +15,56 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The rules that results name, and globs that decide where none of those fits.
+URL_RULES = [url_filter.Rule.host_path(rule, verdict) for rule, verdict in (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))] + [
+    url_filter.Rule(glob, glob, "block", shown=False) for glob in ("*casino**", "*-pills.**", "*/wp-admin/**", "*.zip", "*/*.exe")
+]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.group(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_table(spark, sf_dir, "documents"))
+
+
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), word_bpe())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": op1_url_filter,
+    "op2_simhash": op2_simhash,
     "op3_bpe_round_trip": op3_bpe_round_trip,
+    "op5_quality_rules": op5_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_url_filter": """
+        WITH cut AS (
+            SELECT page_id,
+                   translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+            FROM pages),
+        named AS (
+            SELECT *,
+                   CASE WHEN ends_with('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+                        WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+                        WHEN ends_with('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+                        WHEN ends_with('.' || host, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+            FROM cut)
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+                    WHEN rule IS NOT NULL THEN 'allow'
+                    WHEN contains(host, 'casino') OR contains(host, '-pills.') OR contains(path, '/wp-admin/')
+                         OR (path = '' AND ends_with(host, '.zip')) OR (path <> '' AND regexp_matches(path, '(?s)^/[^/]*[.]exe$')) THEN 'block'
+                    ELSE 'allow' END AS verdict
+        FROM named
+    """,
+}
