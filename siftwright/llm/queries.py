@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwright.llm import bpe, quality_rules, simhash, url_filter
-from siftwright.llm.vocabularies import word_bpe
+from siftwright.llm import bpe, language_id, quality_model, quality_rules, simhash, url_filter
+from siftwright.llm.vocabularies import pieces, word_bpe
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,11 +38,31 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), word_bpe())
 
 
+def _remainder(n: int):
+    """crc32 of the id as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.filter(_remainder(3) != 1), pieces())
+    return language_id.detect(docs, model).select("doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    weights = quality_model.fit(docs, _table(spark, sf_dir, "labels").filter(_remainder(4) != 2))
+    scored = quality_model.score(docs, weights)
+    return scored.select("doc_id", (_remainder(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_simhash": op2_simhash,
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op5_quality_rules": op5_quality_rules,
+    "op8_language_id": op8_language_id,
+    "op9_quality_model": op9_quality_model,
 }
 
 ORACLE_SQL: dict[str, str] = {
