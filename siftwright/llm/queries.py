@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwright.llm import bpe, decontaminate, language_id, quality_model, quality_rules, simhash, url_filter
+from siftwright.llm import bpe, decontaminate, html_main_text, language_id, quality_model, quality_rules, simhash, token_files, url_filter, warc
 from siftwright.llm.vocabularies import pieces, word_bpe
 
 
@@ -38,6 +38,25 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), word_bpe())
 
 
+#: Ends each document of the token files.
+END_ID = 1
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = token_files.write(_table(spark, sf_dir, "documents"), word_bpe(), END_ID)
+    return token_files.read(spark, shards).withColumnRenamed("key", "doc_id")
+
+
+def op6_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main_text.extract(_table(spark, sf_dir, "pages"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write(_table(spark, sf_dir, "pages"))
+    found = warc.read(spark, archives)
+    return found.select(F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
 def _remainder(n: int):
     """crc32 of the id as text, modulo n."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
@@ -64,7 +83,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_simhash": op2_simhash,
     "op3_bpe_round_trip": op3_bpe_round_trip,
+    "op4_token_files": op4_token_files,
     "op5_quality_rules": op5_quality_rules,
+    "op6_html_main_text": op6_html_main_text,
+    "op7_warc": op7_warc,
     "op8_language_id": op8_language_id,
     "op9_quality_model": op9_quality_model,
     "op10_decontaminate": op10_decontaminate,
