@@ -174,7 +174,8 @@ def read(spark: SparkSession, archives: DataFrame, split_bytes: int = 4 << 20, p
     asked for, ``payload``. The digest of a response is that of the payload read, that of a revisit the one it names."""
     ship(spark)
     begins = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)).cast("long"), F.lit(split_bytes).cast("long"))
-    splits = archives.select("path", F.explode(begins).alias("begin")).repartition("path", "begin")
+    splits = archives.select("path", F.explode(begins).alias("begin"))
+    splits = splits.repartition(min(10_000, max(1, splits.count())), "path", "begin")  # a number, as these small rows stand for large reads
     schema = "key string, url string, record_type string, payload_bytes long, payload_digest string, refers_to string" + (", payload binary" if payloads else "")
 
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
