@@ -207,4 +207,5 @@ def read(spark: SparkSession, shards: DataFrame, ids: bool = False) -> DataFrame
                         yield pa.RecordBatch.from_arrays(cols, names)
 
     schema = "key long, start long, n_tokens long, ids_crc32 long" + (", ids array<int>" if ids else "")
-    return placed(shards).select("path", "base").repartition("path").mapInArrow(f, schema)
+    n = min(10_000, max(1, shards.count()))
+    return placed(shards).select("path", "base").repartition(n, "path").mapInArrow(f, schema)
