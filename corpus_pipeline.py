@@ -6,17 +6,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftwright.llm import bpe
+from siftwright.llm import bpe, decontaminate, language_id, quality_rules, simhash
 from siftwright.llm.common import materialize
-from siftwright.llm.vocabularies import word_bpe
+from siftwright.llm.vocabularies import pieces, word_bpe
+
+#: Near-duplicates share at least 0.8 of their five-word shingles. Of such pairs the fingerprints of two-word shingles differ by 6 bits or
+#: fewer in nine of ten cases, those of three-word shingles in six of ten, those of five-word shingles in two of ten (README).
+NEAR_WORDS, NEAR_BITS, NEAR_AGREE = 2, 6, 3
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the learned languages. Learned from the documents that name theirs."""
+    return language_id.keep(docs, language_id.fit(docs, pieces()))
+
+
+def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the plain and the divergence rules keep."""
+    return quality_rules.keep(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group."""
+    return simhash.keep_one(docs, words=NEAR_WORDS, radius=NEAR_BITS, agree=NEAR_AGREE)
+
+
+def decontaminate_from_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no copy of a benchmark item."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """For each document its tokens' number and digests."""
     return bpe.round_trip(docs, word_bpe())
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("bpe", encode_bpe),
+    ("language ID", identify_language),
+    ("quality rules", apply_quality_rules),
+    ("SimHash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", decontaminate_from_benchmark),
+    ("BPE encoding and decoding", encode_bpe),
 ]
 
 #: SQL can't express the stages; tests/llm/test_pipeline.py holds them against plain versions.
@@ -24,7 +53,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, applied to ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return docs

@@ -7,8 +7,8 @@ words by chance; n-grams over ``Rules.chance`` are common and seed nothing, howe
 a seed. Windows with a rare seed are aligned with their item by Smith-Waterman over words; the score is the share of the best possible one, that of
 an unedited copy. Insertions, deletions and replaced words lower it a little, so paraphrased and edited copies score high.
 
-The seeds go to every task if there are at most ``Rules.broadcast_seeds`` of them; beyond that the same hits come from a join of hashed
-n-grams, in which the corpus is dealt by n-gram.
+The seeds go to every task, at most ``Rules.broadcast_seeds`` or so at a time; a larger benchmark is sent block by block, each with a pass of its
+own over the corpus.
 
 Defined results: a null text has no words and no hit; an item with fewer words than an n-gram seeds as a whole; an item without words seeds nothing; an
 empty table on either side gives an empty result; items of equal text all hit; repeated rows of a text repeat their rows here, and hits of

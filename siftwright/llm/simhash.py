@@ -1,7 +1,7 @@
 """SimHash near-duplicates: 64-bit fingerprints, linked at a few differing bits, grouped into connected components.
 
 Fingerprints of equal value become one node first, so groups of copies cost one node. Two fingerprints within radius ``r`` agree on all
-but ``r`` of ``r + 2`` stretches of bits, so each node goes to a bucket for every choice of two stretches; pairs within the radius
+but ``r`` of ``r + k`` stretches of bits, so each node goes to a bucket for every choice of ``k`` stretches; pairs within the radius
 meet in some bucket. A bucket is compared exactly, in tiles: rows are sorted by population count, tiles are compared by exclusive-or
 and bit counts, and tile pairs whose population counts differ by more than the radius are skipped, as they cannot link. A bucket of more than
 ``TILE`` rows is dealt out: its rows are cut into tiles by population count and a salt, and each task gets one pair of tiles.
@@ -29,6 +29,8 @@ from siftwright.llm.common import Table, map_batches, materialize, ship, texts_o
 
 #: Rows of a bucket that one task compares at most; larger buckets are dealt out as tile pairs.
 TILE = 4096
+#: Large buckets are found on the nodes whose hash is divisible by this; one that is missed is compared in one task.
+_ONE_OF = 32
 #: Buckets up to this size are compared by shifts of the sorted rows.
 _SMALL = 12
 _BITS = np.array([[b >> k & 1 for k in range(8)] for b in range(256)], np.int64)
@@ -124,52 +126,53 @@ def _links_of_run(bucket: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.
     return a[keep], b[keep]
 
 
-def links(nodes: DataFrame, radius: int = 2) -> DataFrame:
-    """``a, b`` (a > b as signed longs): links that connect the distinct ``fp`` of ``nodes`` as all links within the radius would."""
+def links(nodes: DataFrame, radius: int = 2, agree: int = 2) -> DataFrame:
+    """``a, b`` (a > b as signed longs): links that connect the distinct ``fp`` of ``nodes`` as all links within the radius would. Buckets are made of
+    ``agree`` of ``radius + agree`` stretches: more stretches give smaller buckets and more of them."""
     spark = nodes.sparkSession
     ship(spark)
-    parts = radius + 2
+    parts = radius + agree
     cuts = [64 * k // parts for k in range(parts + 1)]
-    stretch = [F.shiftrightunsigned("fp", cuts[k]).bitwiseAND(F.lit((1 << (cuts[k + 1] - cuts[k])) - 1)) for k in range(parts)]
-    keys = [
-        F.struct(F.lit(n).cast("byte").alias("band"), F.shiftleft(stretch[i], cuts[j + 1] - cuts[j]).bitwiseOR(stretch[j]).alias("key"))
-        for n, (i, j) in enumerate(combinations(range(parts), 2))
-    ]
-    rows = nodes.select("fp", F.explode(F.array(*keys)).alias("k")).select("k.band", "k.key", "fp")
-    hot = Table(rows.groupBy("band", "key").count().filter(F.col("count") > TILE), "simhash-hot").df
-    columns = ["band", "key", "lo", "hi", "fp"]
+    masks = [sum(((1 << cuts[k + 1]) - (1 << cuts[k])) for k in chosen) for chosen in combinations(range(parts), agree)]
+    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
+    # the bits of the chosen stretches, and the choice's number in place of a stretch that isn't chosen
+    keys = F.array(*(F.xxhash64(F.col("fp").bitwiseAND(F.lit(m).cast("long")), F.lit(n)) for n, m in enumerate(signed)))
+    rows = nodes.select("fp", F.explode(keys).alias("key"))
+    some = nodes.filter(F.pmod(F.xxhash64("fp"), F.lit(_ONE_OF)) == 0).select("fp", F.explode(keys).alias("key"))  # only to find which buckets are large
+    hot = Table(some.groupBy("key").count().filter(F.col("count") * _ONE_OF > TILE), "simhash-hot").df
+    columns = ["key", "lo", "hi", "fp"]
     zero = F.lit(0).cast("long")
     if hot.isEmpty():
-        dealt = rows.select("band", "key", zero.alias("lo"), zero.alias("hi"), "fp")
+        dealt = rows.select("key", zero.alias("lo"), zero.alias("hi"), "fp")
     else:  # tiles of a hot bucket: by population count, then by salt so that a tile has TILE / 2 rows or so
         pop = F.bit_count("fp").cast("long")
-        cool = rows.join(hot, ["band", "key"], "left_anti").select("band", "key", zero.alias("lo"), zero.alias("hi"), "fp")
-        warm = rows.join(hot.select("band", "key"), ["band", "key"]).withColumn("pop", pop)
-        sizes = warm.groupBy("band", "key", "pop").count().select("band", "key", "pop", F.ceil(F.col("count") * 2 / TILE).cast("long").alias("salts"))
-        tiles = sizes.select("band", "key", F.col("pop").alias("p2"), F.explode(F.sequence(zero, F.col("salts") - 1)).alias("s2"))
+        cool = rows.join(hot, "key", "left_anti").select("key", zero.alias("lo"), zero.alias("hi"), "fp")
+        warm = rows.join(hot.select("key"), "key").withColumn("pop", pop)
+        sizes = warm.groupBy("key", "pop").count().select("key", "pop", F.ceil(F.col("count") * 2 / TILE).cast("long").alias("salts"))
+        tiles = sizes.select("key", F.col("pop").alias("p2"), F.explode(F.sequence(zero, F.col("salts") - 1)).alias("s2"))
         tile = lambda p, s: F.col(p) * F.lit(1 << 40) + F.col(s)
-        salted = warm.join(sizes, ["band", "key", "pop"]).withColumn("s", F.pmod(F.xxhash64("fp"), F.col("salts")))
-        others = tiles.groupBy("band", "key").agg(F.collect_list(tile("p2", "s2")).alias("others"))
+        salted = warm.join(sizes, ["key", "pop"]).withColumn("s", F.pmod(F.xxhash64("fp"), F.col("salts")))
+        others = tiles.groupBy("key").agg(F.collect_list(tile("p2", "s2")).alias("others"))
         near = F.filter("others", lambda o: F.abs(F.shiftright(o, 40) - F.col("pop")) <= radius)
-        warm = salted.join(others, ["band", "key"]).select("band", "key", "fp", tile("pop", "s").alias("own"), F.explode(near).alias("other"))
-        dealt = cool.unionByName(warm.select("band", "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "fp"))
+        warm = salted.join(others, "key").select("key", "fp", tile("pop", "s").alias("own"), F.explode(near).alias("other"))
+        dealt = cool.unionByName(warm.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "fp"))
 
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
 
         def out(cols: list[np.ndarray]) -> pa.RecordBatch:
-            bucket = np.flatnonzero((np.diff(np.stack(cols[:4])) != 0).any(axis=0)) + 1
+            bucket = np.flatnonzero((np.diff(np.stack(cols[:3])) != 0).any(axis=0)) + 1
             number = np.zeros(len(cols[0]), np.int64)
             number[bucket] = 1
-            a, b = _links_of_run(number.cumsum(), cols[4].view(np.uint64), radius)
+            a, b = _links_of_run(number.cumsum(), cols[3].view(np.uint64), radius)
             a, b = a.view(np.int64), b.view(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
 
         for batch in batches:
-            cols = [batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(5)]
+            cols = [batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4)]
             if held:
                 cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
-            change = np.flatnonzero((np.diff(np.stack(cols[:4])) != 0).any(axis=0)) + 1
+            change = np.flatnonzero((np.diff(np.stack(cols[:3])) != 0).any(axis=0)) + 1
             if not len(change):
                 held = cols
                 continue
@@ -178,7 +181,7 @@ def links(nodes: DataFrame, radius: int = 2) -> DataFrame:
         if held and len(held[0]):
             yield out(held)
 
-    dealt = dealt.select(*columns).repartition("band", "key", "lo", "hi").sortWithinPartitions(*columns)
+    dealt = dealt.select(*columns).repartition("key", "lo", "hi").sortWithinPartitions(*columns)
     return dealt.mapInArrow(f, "a long, b long").distinct()
 
 
@@ -202,12 +205,23 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2, words: int = 3, seed: int = 42) -> DataFrame:
+def group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2, words: int = 3, seed: int = 42, agree: int = 2) -> DataFrame:
     """``id_col, fp, component_id``: the least id of all rows reachable over links, the row itself included."""
     found = materialize(fingerprints(df, id_col, text_col, words, seed), "simhash-fingerprints")
     nodes = materialize(found.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes")
-    member = components(links(nodes.select("fp"), radius)).select(F.col("node").alias("fp"), "root")
+    member = components(links(nodes.select("fp"), radius, agree)).select(F.col("node").alias("fp"), "root")
     rooted = nodes.join(member, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = materialize(rooted.join(least, "root").select("fp", "component_id"), "simhash-classes")
     return found.join(by_fp, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2, words: int = 3, seed: int = 42, agree: int = 2) -> DataFrame:
+    """The row with the least id of each group, with all its columns; one row where rows share that id. Rows of a null id all stay."""
+    found = group(df, id_col, text_col, radius, words, seed, agree)
+    first = found.filter(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias("_first")).count()
+    first = materialize(first, "simhash-first")
+    kept = df.join(first.select("_first"), F.col(id_col) == F.col("_first"), "left_semi")
+    if not first.filter("count > 1").isEmpty():
+        kept = kept.dropDuplicates([id_col])
+    return kept.unionByName(df.filter(F.col(id_col).isNull()))
