@@ -82,5 +82,6 @@ def cascade(steps: list[tuple[str, Callable[[], Result | object]]]) -> dict[str,
 
 def bucket_counts(events: DataFrame, ts: str, minutes: int = 5, late: str = "10 minutes") -> DataFrame:
     """Rows by clock bucket, over a batch or a stream; a stream drops what comes later than ``late``."""
-    rows = events.withWatermark(ts, late) if events.isStreaming else events
+    rows = events.withColumn(ts, F.col(ts).cast("timestamp"))
+    rows = rows.withWatermark(ts, late) if events.isStreaming else rows
     return rows.groupBy(F.window(ts, f"{minutes} minutes").alias("w")).agg(F.count("*").alias("n_rows")).select(F.col("w.start").alias("bucket"), "n_rows")
