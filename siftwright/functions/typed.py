@@ -25,7 +25,8 @@ _DIRECTIVES = {
     "%z": (r"(?:[+-](?:[0-1][0-9]|2[0-3]):?[0-5][0-9]|Z)", "[XXX][XX]"),
 }
 _TIME = ("%H", "%M", "%S", "%z")
-_BLANK = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}]"
+# White space of Python's strip().
+_BLANK = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 @dataclass(frozen=True)
@@ -65,8 +66,8 @@ def let(value: Column, body) -> Column:
 
 
 def stripped(c: Column) -> Column:
-    """Without surrounding white space of any kind (trim takes spaces only)."""
-    return F.regexp_replace(F.regexp_replace(c, f"^{_BLANK}+", ""), f"{_BLANK}+$", "")
+    """Without surrounding white space of any kind (trim alone takes spaces only)."""
+    return F.btrim(c, F.lit(_BLANK))
 
 
 def parsed_time(c: Column, fmt: str) -> Column:
@@ -90,6 +91,10 @@ def _number(c: Column) -> Column:
 
 
 _NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
+def is_number(c: Column) -> Column:
+    return _number(c).rlike(_NUMBER)
+
+
 #: Exponents beyond this are as good as infinite.
 _HUGE = 10**15
 
@@ -113,12 +118,20 @@ def decimal_digits(c: Column) -> Column:
     return let(_number(c), of_text)
 
 
+def _decimal_error(c: Column, column: ColumnContract) -> Column:
+    counted = let(decimal_digits(c), lambda d: F.when(d.isNull(), TYPE_MISMATCH).when((d.scale > column.scale) | (d.precision > column.precision), DECIMAL_PRECISION_EXCEEDED))
+    if column.precision == column.scale:
+        return counted
+    usual = rf"^-?[0-9]{{1,{column.precision - column.scale}}}(?:\.[0-9]{{1,{column.scale}}})?$"  # needs no counting
+    return F.when(~c.rlike(usual), counted)
+
+
 def error_of(c: Column, column: ColumnContract) -> Column:
     """The type error's code of a field that isn't empty, or null."""
     if column.type == "integer":
         return F.when(~stripped(c).rlike(r"^[+-]?[0-9]+(?:_[0-9]+)*$"), TYPE_MISMATCH)
     if column.type == "decimal":
-        return let(decimal_digits(c), lambda d: F.when(d.isNull(), TYPE_MISMATCH).when((d.scale > column.scale) | (d.precision > column.precision), DECIMAL_PRECISION_EXCEEDED))
+        return _decimal_error(c, column)
     if column.type in ("date", "timestamp"):
         return F.when(parsed_time(c, column.format).isNull(), INVALID_DATE_FORMAT if column.type == "date" else INVALID_TIMESTAMP_FORMAT)
     if column.type == "boolean":

@@ -33,7 +33,7 @@ def measures(c: Column, formats: tuple[str, ...] = ()) -> list[Column]:
         F.count_if(c.rlike(r"^-?[0-9]+(?:\.[0-9]+)?[eE][+-]?[0-9]+$")).alias("scientific"),
         F.count_if(digits).alias("digits"),
         F.count_if(c.rlike(r"^-?0[0-9]+$")).alias("leading_zero"),
-        F.count_if(typed.decimal_digits(c).isNotNull()).alias("number"),
+        F.count_if(typed.is_number(c)).alias("number"),
     ]
     return counts + [F.count_if(typed.parsed_time(c, f).isNotNull()).alias(f"format_{k}") for k, f in enumerate(formats)]
 
