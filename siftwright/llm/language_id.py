@@ -15,7 +15,6 @@ that sorts first. Rows are judged one by one, so repeated rows repeat and an emp
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -28,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftwright.llm.common import map_batches, ship
+from siftwright.llm.common import held, map_batches, ship
 
 UNDETERMINED = "und"
 _MARK = "▁"
@@ -36,7 +35,9 @@ _RUNS = re.compile(r"[^\W\d_]+")
 #: Characters of a word that one forward pass covers; a longer run counts as several words.
 _WORD_CHARS = 64
 #: Words whose log probabilities a worker keeps before it starts again.
-TABLE_ENTRIES = 500_000
+TABLE_ENTRIES = 600_000
+#: Words of text that are split before the new ones among them are looked at together.
+TOGETHER_WORDS = 400_000
 
 
 @dataclass(frozen=True)
@@ -112,44 +113,66 @@ class Model:
 
     def __init__(self, languages: list[str], prob: dict[str, tuple[float, ...]], how: Fit):
         self.languages, self.prob, self.how = languages, prob, how
-        self.table: dict[str, tuple[float, ...]] = {}
-
-    def log_probabilities(self, word: str) -> tuple[float, ...]:
-        """Of a word in each language: forward sums over all segmentations, for all languages at once."""
-        word = _MARK + word
-        n, k = len(word), len(self.languages)
-        get, longest, strange = self.prob.get, self.how.longest_piece + 1, self.how.stranger
-        zero = [0.0] * k
-        forward = [[1.0] * k] + [zero] * n
+        self.number = {p: n for n, p in enumerate(prob)}
+        unknown = (how.stranger,) * len(languages)
+        self.weights = np.array([*prob.values(), unknown, (0.0,) * len(languages)]).reshape(len(prob) + 2, len(languages))
+        self.table: dict[str, int] = {}
+        self.rows = np.zeros((1024, len(languages)), np.float32)
+
+    def log_probabilities(self, words: list[str]) -> np.ndarray:
+        """A row for each word, all of one length: forward sums over all segmentations, for all words and languages at once."""
+        n, longest = len(words[0]) + 1, self.how.longest_piece + 1
+        words = [_MARK + w for w in words]
+        get, strange, none = self.number.get, len(self.number), len(self.number) + 1
+        forward = [np.ones((len(words), len(self.languages)))] + [np.zeros((len(words), len(self.languages))) for _ in range(n)]
         for i in range(n):
-            a = forward[i]
             for j in range(i + 1, min(n, i + longest) + 1):
-                p = get(word[i:j])
-                if p is not None:
-                    forward[j] = [f + x * y for f, x, y in zip(forward[j], a, p)]
-                elif j == i + 1:
-                    forward[j] = [f + x * strange for f, x in zip(forward[j], a)]
-        return tuple(math.log(x) if x > 0 else -700.0 for x in forward[n])
+                missing = strange if j == i + 1 else none
+                at = np.fromiter((get(w[i:j], missing) for w in words), np.int64, len(words))
+                forward[j] += forward[i] * self.weights[at]
+        return np.log(np.maximum(forward[n], 1e-300))
+
+    def learn(self, words: set[str]) -> None:
+        """Puts new words in the table."""
+        if len(self.table) + len(words) > TABLE_ENTRIES:
+            self.table.clear()
+        by_length: dict[int, list[str]] = {}
+        for w in words:
+            by_length.setdefault(len(w), []).append(w)
+        for same in by_length.values():
+            for k in range(0, len(same), 20_000):
+                part = same[k : k + 20_000]
+                at = len(self.table)
+                if at + len(part) > len(self.rows):
+                    grown = np.zeros((2 * (at + len(part)), len(self.languages)), np.float32)
+                    grown[:at] = self.rows[:at]
+                    self.rows = grown
+                self.rows[at : at + len(part)] = self.log_probabilities(part)
+                self.table.update(zip(part, range(at, at + len(part))))
 
     def scores(self, texts: list[str | None]) -> Iterator[tuple[str, float]]:
         """The language and its posterior for each text, the languages equally likely beforehand."""
-        table, make = self.table, self.log_probabilities
-        for text in texts:
-            words = words_of(text)
-            if not words or not self.languages:
-                yield UNDETERMINED, 0.0
-                continue
-            rows = []
-            for w in words:
-                row = table.get(w)
-                if row is None:
-                    if len(table) >= TABLE_ENTRIES:
-                        table.clear()
-                    row = table[w] = make(w)
-                rows.append(row)
-            sums = np.array(rows).sum(axis=0)
-            best = int(sums.argmax())
-            yield self.languages[best], float(1 / np.exp(sums - sums[best]).sum())
+        at = 0
+        while at < len(texts):
+            together: list[list[str]] = []
+            n = 0
+            while at < len(texts) and n < TOGETHER_WORDS:
+                together.append(words_of(texts[at]))
+                n += len(together[-1])
+                at += 1
+            new = set().union(*together)
+            if len(self.table) + len(new) > TABLE_ENTRIES:
+                self.table.clear()
+            if self.languages:
+                self.learn(new.difference(self.table))
+            get = self.table.__getitem__
+            for words in together:
+                if not words or not self.languages:
+                    yield UNDETERMINED, 0.0
+                    continue
+                sums = self.rows[np.fromiter(map(get, words), np.int64, len(words))].sum(axis=0, dtype=np.float64)
+                best = int(sums.argmax())
+                yield self.languages[best], float(1 / np.exp(sums - sums[best]).sum())
 
 
 def fit(labelled: DataFrame, pieces_path: str, how: Fit = Fit(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
@@ -184,14 +207,8 @@ def _scorer(df: DataFrame, model: Model):
     return lambda: _rebuilt(number, sent)
 
 
-_built: dict[int, Model] = {}
-
-
 def _rebuilt(number: int, sent) -> Model:
-    if number not in _built:
-        _built.clear()
-        _built[number] = Model(*sent.value)
-    return _built[number]
+    return held(("language", number), lambda: Model(*sent.value))
 
 
 def detect(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -18,7 +18,6 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -26,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftwright.llm.common import map_batches, ship, texts_of
+from siftwright.llm.common import held, map_batches, ship, texts_of
 
 #: Words whose hashes a worker keeps before it starts again.
-TABLE_ENTRIES = 800_000
+TABLE_ENTRIES = 600_000
 _SHAPES = (re.compile(r"[A-ZÀ-ÖØ-Þ]+"), re.compile(r"[^\W\d_A]+"), re.compile(r"\d+"))
 
 
@@ -64,23 +63,29 @@ class Hasher:
 
     def __init__(self, bits: int):
         self.bits = bits
-        self.table: dict[str, tuple[int, int]] = {}
-        self.same = zlib.crc32(b"=")
+        self.table: dict[str, int] = {}  # the word's hash above its shape's
+        self.same = np.uint64(zlib.crc32(b"="))
 
-    def _hashes(self, word: str) -> tuple[int, int]:
-        if len(self.table) >= TABLE_ENTRIES:
+    def learn(self, words: set[str]) -> None:
+        if len(self.table) + len(words) > TABLE_ENTRIES:
             self.table.clear()
-        made = self.table[word] = zlib.crc32(word.encode("utf-8", "surrogatepass")), zlib.crc32(shape(word).encode("utf-8", "surrogatepass"))
-        return made
+        hash_, table = zlib.crc32, self.table
+        for w in words:
+            table[w] = hash_(w.encode("utf-8", "surrogatepass")) << 32 | hash_(shape(w).encode("utf-8", "surrogatepass"))
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Places and values; place 0 is the bias."""
         words = (text or "").split()
         if not words:
             return np.zeros(1, np.int64), np.ones(1)
-        get, make = self.table.get, self._hashes
-        h = np.array([get(w) or make(w) for w in words], np.uint64)
-        own, kind = h[:, 0], h[:, 1].copy()
+        new = {w for w in words if w not in self.table}
+        if new:
+            if len(self.table) + len(new) > TABLE_ENTRIES:
+                self.table.clear()
+                new = set(words)
+            self.learn(new)
+        h = np.fromiter(map(self.table.__getitem__, words), np.uint64, len(words))
+        own, kind = h >> np.uint64(32), h & np.uint64(0xFFFFFFFF)
         kind[1:][own[1:] == own[:-1]] = self.same
         places, values = [np.zeros(1, np.int64)], [np.ones(1)]
         for salt, x in ((1, own), (3, kind)):
@@ -133,10 +138,9 @@ def fit(docs: DataFrame, labels: DataFrame, how: Fit = Fit(), id_col: str = "doc
     return out
 
 
-@cache
 def hasher_of(bits: int) -> Hasher:
-    """One for each Python worker."""
-    return Hasher(bits)
+    """The worker's own."""
+    return held(("quality", bits), lambda: Hasher(bits))
 
 
 def score(df: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
