@@ -20,17 +20,16 @@ import heapq
 import json
 import unicodedata
 from collections.abc import Iterable, Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from siftwright.llm.common import map_batches, texts_of
+from siftwright.llm.common import held, map_batches, texts_of
 
 #: Entries that a worker's table of encoded stretches holds before it starts again.
-TABLE_ENTRIES = 800_000
+TABLE_ENTRIES = 500_000
 #: Characters of text that are split before the new stretches among them are encoded together.
 TOGETHER_CHARS = 4_000_000
 #: Words of more parts than this are merged by a heap over a linked list, as scans take quadratic time.
@@ -254,10 +253,9 @@ class RankArrayEncoder:
         return " ".join([self.tokens[i] for i in (ids if ids is not None else ()) if i in self.tokens and i not in skip])
 
 
-@cache
 def encoder(path: str, as_text: bool = True) -> RankArrayEncoder:
-    """One for each path and Python worker."""
-    return RankArrayEncoder(path, as_text)
+    """The worker's own."""
+    return held(("bpe", path, as_text), lambda: RankArrayEncoder(path, as_text))
 
 
 def encode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

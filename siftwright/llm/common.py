@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import re
 import tempfile
@@ -69,6 +70,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return Table(df, name).df
 
 
+_held: dict[object, object] = {}
+
+
+def held(kind: object, make: Callable[[], object]):
+    """What a Python worker keeps from batch to batch. Workers outlive the stage that they were started for, so only one kind is kept at a time."""
+    if kind not in _held:
+        _held.clear()
+        gc.collect()
+        _held[kind] = make()
+    return _held[kind]
+
+
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """``f`` on each Arrow batch; empty batches are left out."""
     ship(df.sparkSession)
