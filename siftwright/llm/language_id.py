@@ -176,9 +176,9 @@ class Model:
 
 
 def fit(labelled: DataFrame, pieces_path: str, how: Fit = Fit(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """A model of the languages that ``labelled`` names, from a bounded sample of its rows. Null languages and texts are left out."""
+    """A model of the languages that ``labelled`` names, from a bounded sample of its rows. Null languages, texts and ids are left out."""
     ship(labelled.sparkSession)
-    rows = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.col(text_col).alias("text")).filter("lang is not null and text is not null")
+    rows = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.col(text_col).alias("text")).filter("lang is not null and text is not null and id is not null")
     first = Window.partitionBy("lang").orderBy("h", "id")
     ids = rows.select("id", "lang", "h").withColumn("n", F.row_number().over(first)).filter(F.col("n") <= how.texts_per_language)
     chosen = sorted((r.lang, r.id) for r in ids.select("lang", "id").collect())  # texts_per_language for each language
