@@ -41,6 +41,11 @@ class Result:
         return f"{self.dataset} {self.file_name}: {self.status} total={self.total_rows} valid={self.valid_rows} invalid={self.invalid_rows} in {self.duration_seconds:.3f}s"
 
 
+def summary_of(results: dict[str, object]) -> str:
+    """A cascade's steps, one to a line."""
+    return "\n".join(f"{name}: {r.summary() if isinstance(r, Result) else r}" for name, r in results.items())
+
+
 @dataclass(frozen=True)
 class Rules:
     """What the target tables demand: a key, parents (column to (dataset's contract, its column)), and widths in bytes."""
@@ -96,6 +101,17 @@ class Store:
     def drop(self, table: str, checksum: str) -> None:
         self._fs.delete(self._path(f"{self.root}/{table}/{_LOAD}={checksum}"), True)
 
+    def truncate(self, contract: DatasetContract) -> None:
+        """Empties a dataset's tables. What the ledger knows of its loads goes too, so their files may be loaded again."""
+        for table in (contract.targets.valid_table, contract.targets.invalid_table):
+            self._fs.delete(self._path(f"{self.root}/{table}"), True)
+        if self._exists(f"{self.root}/ledger"):
+            others = self.ledger().filter(F.col("dataset") != contract.dataset).collect()
+            staged = f"{self.root}/_ledger_without_{contract.dataset}"
+            self.spark.createDataFrame(others, LEDGER_SCHEMA).coalesce(1).write.mode("overwrite").parquet(staged)
+            self._fs.delete(self._path(f"{self.root}/ledger"), True)
+            self._fs.rename(self._path(staged), self._path(f"{self.root}/ledger"))
+
     def claim(self, dataset: str, checksum: str) -> bool:
         """Whether this caller is the one that loads this content now."""
         path = self._path(f"{self.root}/locks/{dataset}-{checksum}")

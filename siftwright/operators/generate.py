@@ -81,6 +81,13 @@ def rows(spark: SparkSession, contract: DatasetContract, n: int, seed: int, inva
     return df.withColumn("fields", fields)
 
 
+def correlated(spark: SparkSession, parent: DatasetContract, child: DatasetContract, key: str, parents: int, children: int, seed: int, invalid_share: float = 0.0) -> tuple[DataFrame, DataFrame]:
+    """Rows of two datasets, where the children's ``key`` is drawn from the valid parents' by ``zipf``."""
+    made = rows(spark, parent, parents, seed, invalid_share)
+    pool = made.filter("broken is null").select(F.get("fields", F.lit(parent.names.index(key))).alias(key))
+    return made, rows(spark, child, children, seed, invalid_share, {key: pool})
+
+
 def zipf(df: DataFrame, pool: DataFrame, key: str, seed: int, name: str) -> DataFrame:
     """``df`` with ``name``, drawn with replacement from the pool's one column: the value of rank r with weight 1/r, ranks in the values' order.
 

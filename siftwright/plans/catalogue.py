@@ -94,7 +94,7 @@ def readiness_count_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("SELECT bucket, event_id, rn FROM (SELECT time_bucket(INTERVAL 5 minutes, ts) AS bucket, event_id, row_number() OVER (PARTITION BY time_bucket(INTERVAL 5 minutes, ts) ORDER BY event_id) AS rn FROM events) WHERE rn <= 3")
 def top3_per_5min_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "events").select(reports.bucket(F.col("ts")).alias("bucket"), "event_id")
-    return reports.first_of_group(rows, 3, "bucket", "event_id")
+    return reports.first_of_group(rows, 3, "bucket", "event_id").withColumn("rn", F.col("rn").cast("long"))
 
 
 @_query("SELECT strftime(time_bucket(INTERVAL 5 minutes, ts), '%Y-%m-%d %H:%M') AS label, minute(time_bucket(INTERVAL 5 minutes, ts)) AS at_minute, count(*) AS n_rows FROM events GROUP BY 1, 2")

@@ -143,6 +143,29 @@ def test_retention(tmp_path):
     assert ingest.latest_file(str(tmp_path), "orders_2*.csv") == str(tmp_path / "orders_20260101.csv")
 
 
+def test_truncate_and_verify(spark, store, tmp_path):
+    from siftwright.operators import verify
+
+    assert load(spark, store, tmp_path, HEAD + "1,C1,1.00\n").status == Status.SUCCESS
+    assert verify.differences("orders_valid", store.table(ORDERS).schema, ORDERS.valid_schema) == []
+    wrong = DatasetContract("orders", "*", (ColumnContract("order_id", "integer"), ColumnContract("more")))
+    assert [(d.column, d.problem) for d in verify.differences("t", store.table(ORDERS).schema, wrong.valid_schema)] == [("more", "missing"), ("order_id", "is string, not decimal(38,0)")]
+    store.table(ORDERS).createOrReplaceTempView("orders_view")
+    assert [d.table for d in verify.catalogue(spark, {"orders_view": ORDERS.valid_schema, "none": ORDERS.valid_schema})] == ["none"]
+    store.truncate(ORDERS)
+    assert store.table(ORDERS).count() == 0 and store.table(CUSTOMERS).count() == 2
+    assert load(spark, store, tmp_path, HEAD + "1,C1,1.00\n").status == Status.SUCCESS and store.table(ORDERS).count() == 1
+
+
+def test_correlated_rows(spark):
+    from siftwright.operators import generate
+
+    parents, children = generate.correlated(spark, CUSTOMERS, ORDERS, "customer_id", 50, 300, 3, 0.2)
+    ids = {r.fields[0] for r in parents.collect() if r.broken is None}
+    assert 20 < len(ids) < 50 and {r.fields[1] for r in children.collect() if r.broken is None} <= ids
+    assert generate.csv_lines(children, ORDERS).count() == 300
+
+
 def test_masks():
     m = "{dataset}_{country}_{day:%Y%m%d}[_{part:03d}].csv"
     assert filename.parse(m, "orders_BR_20260105_007.csv") == {"dataset": "orders", "country": "BR", "day": date(2026, 1, 5), "part": 7}
