@@ -5,8 +5,10 @@ Each query runs the operator's own code; its SQL says independently what must co
 
 from __future__ import annotations
 
-import glob
+import atexit
 import os
+import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -380,24 +382,29 @@ def generated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _written(spark: SparkSession, rows: DataFrame, compression: str) -> list[str]:
-    """CSV files of the rows in the shared folder, without an ending that would tell their compression."""
-    import atexit
-    import shutil
-    import tempfile
-
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
-    local = named.removeprefix("file://") if named.startswith(("file:///", "/")) else None
-    if local:
-        os.makedirs(local, exist_ok=True)
-    folder = tempfile.mkdtemp(dir=local or None)
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    out = os.path.join(folder, "files")
-    rows.write.option("header", True).option("compression", compression).option("emptyValue", "").option("escape", '"').csv(f"file://{out}")
+    """CSV files of the rows in the folder that all machines share, without an ending that would tell their compression."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
+    named = named if "://" in named else f"file://{os.path.abspath(named.removeprefix('file:'))}"
+    out = f"{named.rstrip('/')}/siftwright/csv-{uuid.uuid4().hex}"
+    rows.write.option("header", True).option("compression", compression).option("emptyValue", "").option("escape", '"').csv(out)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(out).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     paths = []
-    for p in sorted(glob.glob(f"{out}/part-*")):
-        os.rename(p, bare := p.split(".csv")[0])
-        paths.append(bare)
-    return paths
+    for status in fs.listStatus(path(out)):
+        name = status.getPath().getName()
+        if name.startswith("part-") and status.getLen():
+            bare = name.split(".csv")[0]
+            fs.rename(path(f"{out}/{name}"), path(f"{out}/{bare}"))
+            paths.append(f"{out}/{bare}")
+    atexit.register(_deleted, fs, path(out))
+    return sorted(paths)
+
+
+def _deleted(fs, path) -> None:
+    try:
+        fs.delete(path, True)
+    except Exception:  # the session may be over
+        pass
 
 
 def _order_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
