@@ -22,7 +22,7 @@ ASCII_SPACE = " \t\n\x0b\x0c\r"
 def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
     sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
         named = f"file://{tempfile.mkdtemp(prefix='siftwright-')}"
         sc.setCheckpointDir(named)
