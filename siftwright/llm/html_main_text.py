@@ -60,7 +60,7 @@ _TOKEN = re.compile(
     r"|<[!?][^>]*(?:>|\Z)|<[a-zA-Z/][^<>]*\Z",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(r"""(class|id|role|aria-hidden|hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'=/>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -105,7 +105,7 @@ def _names(attributes: str) -> tuple[set[str], bool]:
     for m in _ATTRIBUTE.finditer(attributes):
         kind, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if kind in ("class", "id", "role"):
-            names.update(n.lower() for n in _NAME.findall(value))
+            names.update(n.lower() for n in (*re.findall("[A-Za-z]+", value), *_NAME.findall(value)))
         elif kind == "hidden" or kind == "aria-hidden" and value.lower() == "true" or kind == "style" and re.search(r"display\s*:\s*none", value, re.I):
             hidden = True
     return names, hidden

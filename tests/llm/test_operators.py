@@ -329,6 +329,13 @@ def test_main_text():
         html_main_text.main_text(PAGE[:cut])
 
 
+def test_attributes():
+    names, hidden = html_main_text._names(' data-id="menu" aria-label="hidden menu" class="story"')
+    assert names == {"story"} and not hidden
+    assert html_main_text._names(" CLASS=sideBar hidden") == ({"sidebar", "side", "bar"}, True)
+    assert html_main_text._names("style='color:red; display : none'") == (set(), True)
+
+
 def test_html_query(spark):
     import html
 
