@@ -219,9 +219,12 @@ def group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius:
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2, words: int = 3, seed: int = 42, agree: int = 2) -> DataFrame:
     """The row with the least id of each group, with all its columns; one row where rows share that id. Rows of a null id all stay."""
     found = group(df, id_col, text_col, radius, words, seed, agree)
-    first = found.filter(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias("_first")).count()
-    first = materialize(first, "simhash-first")
-    kept = df.join(first.select("_first"), F.col(id_col) == F.col("_first"), "left_semi")
-    if not first.filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates([id_col])
-    return kept.unionByName(df.filter(F.col(id_col).isNull()))
+    first = F.col(id_col) == F.col("component_id")
+    by_id = found.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.count_if(first).alias("_n"))
+    told = materialize(by_id.filter("_n <> 1"), "simhash-told")  # those that go are fewer than those that stay, and without repeated ids they are all
+    kept = df.join(told.filter("_n = 0").select("_id"), F.col(id_col) == F.col("_id"), "left_anti")
+    twice = told.filter("_n > 1").select("_id")
+    if twice.isEmpty():
+        return kept
+    same = F.col(id_col) == F.col("_id")
+    return kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates([id_col]))
