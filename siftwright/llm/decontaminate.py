@@ -242,5 +242,5 @@ def _align(windows: DataFrame, seeds: Seeds, rare: set[tuple[int, int]], rules:
 
 def clean(docs: DataFrame, benchmark: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows that pair with no item, with all their columns. Rows of a null id stay."""
-    leaked = find(docs, benchmark, rules, id_col, text_col, item_col, item_text_col).select(id_col).distinct()
+    leaked = materialize(find(docs, benchmark, rules, id_col, text_col, item_col, item_text_col).select(id_col).distinct(), "decontaminate-leaked")  # of known size: broadcast if it is small
     return docs.join(leaked, id_col, "left_anti").select(*docs.columns)
