@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 
 from siftwright.llm.common import held, map_batches, texts_of
 
-#: Entries that a worker's table of encoded stretches holds before it starts again.
-TABLE_ENTRIES = 500_000
+#: Entries that a worker's table of encoded stretches holds before it starts again; twice as many where it holds no texts.
+TABLE_ENTRIES = 250_000
 #: Characters of text that are split before the new stretches among them are encoded together.
 TOGETHER_CHARS = 4_000_000
 #: Words of more parts than this are merged by a heap over a linked list, as scans take quadratic time.
@@ -228,7 +228,7 @@ class RankArrayEncoder:
                 else:
                     stretches.append(self._split(text))
             new = {w for s in stretches for w in s if w}
-            if len(self.table) + len(new) > TABLE_ENTRIES:
+            if len(self.table) + len(new) > TABLE_ENTRIES * (1 if self.as_text else 2):
                 self.table.clear()
             new.difference_update(self.table)
             collecting = gc.isenabled()
@@ -242,6 +242,9 @@ class RankArrayEncoder:
             for s in stretches:
                 yield [table[w] for w in s if w]
 
+    def forget(self) -> None:
+        self.table = {}
+
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """Ids of each text, unsigned 32-bit."""
         for parts in self.parts([t or "" for t in texts]):

@@ -82,14 +82,23 @@ def held(kind: object, make: Callable[[], object]):
     return _held[kind]
 
 
+def forget() -> None:
+    """At a task's end: a worker that waits for the next one, perhaps of another operator, keeps vocabularies and weights but no table of words."""
+    for x in _held.values():
+        x.forget()
+
+
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """``f`` on each Arrow batch; empty batches are left out."""
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield f(batch)
+        try:
+            for batch in batches:
+                if batch.num_rows:
+                    yield f(batch)
+        finally:
+            forget()
 
     return df.mapInArrow(run, schema)
 

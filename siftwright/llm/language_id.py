@@ -35,7 +35,7 @@ _RUNS = re.compile(r"[^\W\d_]+")
 #: Characters of a word that one forward pass covers; a longer run counts as several words.
 _WORD_CHARS = 64
 #: Words whose log probabilities a worker keeps before it starts again.
-TABLE_ENTRIES = 600_000
+TABLE_ENTRIES = 400_000
 #: Words of text that are split before the new ones among them are looked at together.
 TOGETHER_WORDS = 400_000
 
@@ -150,6 +150,10 @@ class Model:
                 self.rows[at : at + len(part)] = self.log_probabilities(part)
                 self.table.update(zip(part, range(at, at + len(part))))
 
+    def forget(self) -> None:
+        self.table = {}
+        self.rows = np.zeros((1024, len(self.languages)), np.float32)
+
     def scores(self, texts: list[str | None]) -> Iterator[tuple[str, float]]:
         """The language and its posterior for each text, the languages equally likely beforehand."""
         at = 0

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from siftwright.llm.common import held, map_batches, ship, texts_of
 
 #: Words whose hashes a worker keeps before it starts again.
-TABLE_ENTRIES = 600_000
+TABLE_ENTRIES = 400_000
 _SHAPES = (re.compile(r"[A-ZÀ-ÖØ-Þ]+"), re.compile(r"[^\W\d_A]+"), re.compile(r"\d+"))
 
 
@@ -73,6 +73,9 @@ class Hasher:
         for w in words:
             table[w] = hash_(w.encode("utf-8", "surrogatepass")) << 32 | hash_(shape(w).encode("utf-8", "surrogatepass"))
 
+    def forget(self) -> None:
+        self.table = {}
+
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Places and values; place 0 is the bias."""
         words = (text or "").split()

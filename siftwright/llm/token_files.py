@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftwright.llm.bpe import encoder
-from siftwright.llm.common import materialize, new_shared_path, ship
+from siftwright.llm.common import forget, materialize, new_shared_path, ship
 from siftwright.llm.files import opened, own_name, read_all, writing
 
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
@@ -154,6 +154,7 @@ def write(df: DataFrame, vocabulary: str, end_id: int, folder: str | None = None
                 for ids in e.encode(batch.column(1).to_pylist()):
                     out.write(ids.astype(f"<u{width}").tobytes() + end)
                     lengths.append(len(ids) + 1)
+        forget()
         key = np.concatenate(keys)
         distinct, at, count = np.unique(key, return_index=True, return_counts=True)
         names = distinct.view(np.uint64)
