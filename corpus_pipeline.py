@@ -10,9 +10,10 @@ from siftwright.llm import bpe, decontaminate, language_id, quality_rules, simha
 from siftwright.llm.common import materialize
 from siftwright.llm.vocabularies import pieces, word_bpe
 
-#: Near-duplicates share at least 0.8 of their five-word shingles. Of such pairs the fingerprints of two-word shingles differ by 6 bits or
-#: fewer in nine of ten cases, those of three-word shingles in six of ten, those of five-word shingles in two of ten (README).
-NEAR_WORDS, NEAR_BITS, NEAR_AGREE = 2, 6, 3
+#: Near-duplicates share at least NEAR_SHARE of their NEAR_SHINGLE-word shingles, compared exactly. Candidates are pairs whose fingerprints of three-word
+#: shingles differ by NEAR_REACH bits or fewer, and all pairs of a group linked at NEAR_BITS (README).
+NEAR_WORDS, NEAR_BITS, NEAR_REACH, NEAR_AGREE = 3, 7, 11, 3
+NEAR_SHINGLE, NEAR_SHARE = 5, 0.8
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +28,7 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group."""
-    return simhash.keep_one(docs, words=NEAR_WORDS, radius=NEAR_BITS, agree=NEAR_AGREE)
+    return simhash.keep_near(docs, words=NEAR_WORDS, core=NEAR_BITS, reach=NEAR_REACH, agree=NEAR_AGREE, shingle=NEAR_SHINGLE, least=NEAR_SHARE)
 
 
 def decontaminate_from_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

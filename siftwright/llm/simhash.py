@@ -9,6 +9,10 @@ and bit counts, and tile pairs whose population counts differ by more than the r
 A task does not return all links but a forest of them that connects the same nodes, so a dense group of n nodes gives about n links.
 Components then come from alternating large-star and small-star rounds, each cut off by a table in the shared folder.
 
+``near_duplicates`` uses fingerprints for candidates only; what links two texts is the exact Jaccard overlap of their shingles. Candidates are all pairs
+within a wide radius (``reach``) and all pairs of one group at a narrow one (``core``). A group is compared as a whole, and of pairs of different groups only
+the texts that meet are sent, so a dense group of n texts gives about n rows, not n * n; large units are dealt out as tile pairs here too.
+
 Defined results: null and empty texts have no shingle, fingerprint 0, and are linked like any other; a text of fewer words than a shingle
 is one shingle; repeated rows and rows of equal id keep one result row each and share a component; a null id takes part, and a component's id is the
 least id that is not null; an empty table gives an empty table; only the named columns are read.
@@ -33,6 +37,10 @@ TILE = 4096
 _ONE_OF = 32
 #: Buckets up to this size are compared by shifts of the sorted rows.
 _SMALL = 12
+#: Buckets up to this size are compared by shifts where all pairs are wanted.
+_SHIFTED = 64
+#: Texts and their bytes that are compared in one unit at most; larger units are dealt out as tile pairs.
+UNIT_TEXTS, UNIT_BYTES = 1024, 8 << 20
 _BITS = np.array([[b >> k & 1 for k in range(8)] for b in range(256)], np.int64)
 
 
@@ -126,27 +134,33 @@ def _links_of_run(bucket: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.
     return a[keep], b[keep]
 
 
-def links(nodes: DataFrame, radius: int = 2, agree: int = 2) -> DataFrame:
-    """``a, b`` (a > b as signed longs): links that connect the distinct ``fp`` of ``nodes`` as all links within the radius would. Buckets are made of
-    ``agree`` of ``radius + agree`` stretches: more stretches give smaller buckets and more of them."""
-    spark = nodes.sparkSession
-    ship(spark)
+def _masks(radius: int, agree: int) -> tuple[list[int], list[int]]:
+    """The bits of each stretch, and those of each choice of ``agree`` stretches."""
     parts = radius + agree
     cuts = [64 * k // parts for k in range(parts + 1)]
-    masks = [sum(((1 << cuts[k + 1]) - (1 << cuts[k])) for k in chosen) for chosen in combinations(range(parts), agree)]
+    stretches = [(1 << cuts[k + 1]) - (1 << cuts[k]) for k in range(parts)]
+    return stretches, [sum(stretches[k] for k in chosen) for chosen in combinations(range(parts), agree)]
+
+
+def _dealt(nodes: DataFrame, radius: int, agree: int) -> DataFrame:
+    """``key, lo, hi`` and the columns of ``nodes``, distinct ``fp`` among them: a row for each bucket, and each tile pair of a large one. The low bits of a
+    key are the number of its choice of stretches."""
+    masks = _masks(radius, agree)[1]
+    low = len(masks).bit_length()
+    wide = min(63, max(m.bit_count() for m in masks) + 8 + low)  # more bits would tell no more buckets apart, and travel
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     # the bits of the chosen stretches, and the choice's number in place of a stretch that isn't chosen
-    keys = F.array(*(F.xxhash64(F.col("fp").bitwiseAND(F.lit(m).cast("long")), F.lit(n)) for n, m in enumerate(signed)))
-    rows = nodes.select("fp", F.explode(keys).alias("key"))
+    keys = F.array(*(F.shiftleft(F.xxhash64(F.col("fp").bitwiseAND(F.lit(m).cast("long")), F.lit(n)), low).bitwiseAND(F.lit((1 << wide) - 1)).bitwiseOR(F.lit(n).cast("long")) for n, m in enumerate(signed)))
+    own = nodes.columns
+    rows = nodes.select(*own, F.explode(keys).alias("key"))
     some = nodes.filter(F.pmod(F.xxhash64("fp"), F.lit(_ONE_OF)) == 0).select("fp", F.explode(keys).alias("key"))  # only to find which buckets are large
     hot = Table(some.groupBy("key").count().filter(F.col("count") * _ONE_OF > TILE), "simhash-hot").df
-    columns = ["key", "lo", "hi", "fp"]
     zero = F.lit(0).cast("long")
     if hot.isEmpty():
-        dealt = rows.select("key", zero.alias("lo"), zero.alias("hi"), "fp")
+        dealt = rows.select("key", zero.alias("lo"), zero.alias("hi"), *own)
     else:  # tiles of a hot bucket: by population count, then by salt so that a tile has TILE / 2 rows or so
         pop = F.bit_count("fp").cast("long")
-        cool = rows.join(hot, "key", "left_anti").select("key", zero.alias("lo"), zero.alias("hi"), "fp")
+        cool = rows.join(hot, "key", "left_anti").select("key", zero.alias("lo"), zero.alias("hi"), *own)
         warm = rows.join(hot.select("key"), "key").withColumn("pop", pop)
         sizes = warm.groupBy("key", "pop").count().select("key", "pop", F.ceil(F.col("count") * 2 / TILE).cast("long").alias("salts"))
         tiles = sizes.select("key", F.col("pop").alias("p2"), F.explode(F.sequence(zero, F.col("salts") - 1)).alias("s2"))
@@ -154,34 +168,158 @@ def links(nodes: DataFrame, radius: int = 2, agree: int = 2) -> DataFrame:
         salted = warm.join(sizes, ["key", "pop"]).withColumn("s", F.pmod(F.xxhash64("fp"), F.col("salts")))
         others = tiles.groupBy("key").agg(F.collect_list(tile("p2", "s2")).alias("others"))
         near = F.filter("others", lambda o: F.abs(F.shiftright(o, 40) - F.col("pop")) <= radius)
-        warm = salted.join(others, "key").select("key", "fp", tile("pop", "s").alias("own"), F.explode(near).alias("other"))
-        dealt = cool.unionByName(warm.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "fp"))
+        warm = salted.join(others, "key").select("key", *own, tile("pop", "s").alias("own"), F.explode(near).alias("other"))
+        dealt = cool.unionByName(warm.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), *own))
+    return dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", *own)
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """Whole buckets of sorted rows of longs: each row's bucket number, and the columns."""
+    held: list[np.ndarray] = []
+
+    def numbered(cols: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+        number = np.zeros(len(cols[0]), np.int64)
+        number[np.flatnonzero((np.diff(np.stack(cols[:3])) != 0).any(axis=0)) + 1] = 1
+        return number.cumsum(), cols
+
+    for batch in batches:
+        cols = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
+        if held:
+            cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
+        change = np.flatnonzero((np.diff(np.stack(cols[:3])) != 0).any(axis=0)) + 1
+        if not len(change):
+            held = cols
+            continue
+        yield numbered([c[: change[-1]] for c in cols])
+        held = [c[change[-1] :] for c in cols]
+    if held and len(held[0]):
+        yield numbered(held)
 
-    def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
 
-        def out(cols: list[np.ndarray]) -> pa.RecordBatch:
-            bucket = np.flatnonzero((np.diff(np.stack(cols[:3])) != 0).any(axis=0)) + 1
-            number = np.zeros(len(cols[0]), np.int64)
-            number[bucket] = 1
-            a, b = _links_of_run(number.cumsum(), cols[3].view(np.uint64), radius)
+def links(nodes: DataFrame, radius: int = 2, agree: int = 2) -> DataFrame:
+    """``a, b`` (a > b as signed longs): links that connect the distinct ``fp`` of ``nodes`` as all links within the radius would. Buckets are made of
+    ``agree`` of ``radius + agree`` stretches: more stretches give smaller buckets and more of them."""
+    ship(nodes.sparkSession)
+
+    def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, cols in _by_bucket(batches):
+            a, b = _links_of_run(number, cols[3].view(np.uint64), radius)
             a, b = a.view(np.int64), b.view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
+
+    return _dealt(nodes.select("fp"), radius, agree).mapInArrow(f, "a long, b long").distinct()
+
+
+def _pairs_of_run(bucket: np.ndarray, fps: np.ndarray, core: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all pairs within the radius, within the buckets, that have no core in common; rows of a bucket stand together."""
+    edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
+    sizes = np.diff(edges)
+    ends = np.repeat(edges[1:], sizes)
+    apart = lambda x, y: (np.bitwise_count(fps[x] ^ fps[y]) <= radius) & ((core[x] != core[y]) | (core[x] == 0))
+    a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    at = np.flatnonzero(np.repeat(sizes <= _SHIFTED, sizes))
+    for step in range(1, _SHIFTED):
+        at = at[at + step < ends[at]]
+        if not len(at):
+            break
+        hit = at[apart(at, at + step)]
+        a.append(hit)
+        b.append(hit + step)
+    for k in np.flatnonzero(sizes > _SHIFTED):
+        lo, hi = int(edges[k]), int(edges[k + 1])
+        for begin in range(lo, hi, 256):
+            x = np.arange(begin, min(hi, begin + 256))
+            i, j = np.nonzero(np.bitwise_count(fps[x][:, None] ^ fps[begin:hi][None, :]) <= radius)
+            x, y = x[i], j + begin
+            keep = (x < y) & apart(x, y)
+            a.append(x[keep])
+            b.append(y[keep])
+    return np.concatenate(a), np.concatenate(b)
+
+
+def pairs_across(nodes: DataFrame, radius: int, agree: int) -> DataFrame:
+    """``u, v, fp`` (u < v): for two groups that have a pair within the radius, the fingerprints of all such pairs. ``nodes`` has distinct ``fp`` and ``core``, a
+    group's name, or 0 for a fingerprint that is a group by itself."""
+    ship(nodes.sparkSession)
+    stretches, masks = _masks(radius, agree)
+    low = len(masks).bit_length()
+
+    def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, choices = np.array(stretches, np.uint64), np.array(masks, np.uint64)
+        for number, (key, _, _, fps, core) in _by_bucket(batches):
+            a, b = _pairs_of_run(number, fps.view(np.uint64), core, radius)
+            same = ((fps[a] ^ fps[b]).view(np.uint64)[:, None] & bits[None, :]) == 0
+            first = ((same & (same.cumsum(axis=1) <= agree)) * bits[None, :]).sum(axis=1, dtype=np.uint64)
+            mine = first == choices[key[a] & ((1 << low) - 1)]  # a pair counts in the first of the buckets where it meets
+            a, b = a[mine], b[mine]
+            name = np.where(core == 0, fps, core)
+            u, v = np.minimum(name[a], name[b]), np.maximum(name[a], name[b])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in ((u, u), (v, v), (fps[a], fps[b]))], ["u", "v", "fp"])
+
+    return _dealt(nodes.select("fp", "core"), radius, agree).mapInArrow(f, "u long, v long, fp long").distinct()
+
+
+def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
+    """The distinct shingles' hashes, sorted. A text of fewer words, or none, is one shingle."""
+    w = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if len(w) <= words:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(w))], np.uint64)
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, zip(*(w[k:] for k in range(words))))), np.uint64, len(w) - words + 1))
+
+
+def overlap_forest(sets: list[np.ndarray], least: float) -> tuple[list[int], list[int]]:
+    """Links that connect what all pairs whose Jaccard overlap is ``least`` or more connect."""
+    sizes = np.array([len(s) for s in sets])
+    words, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.concatenate([[0], sizes.cumsum()])
+    mark = np.zeros(len(words), np.int32)
+    left = np.ones(len(sets), bool)
+    a: list[int] = []
+    b: list[int] = []
+    for seed in range(len(sets)):
+        if not left[seed]:
+            continue
+        left[seed] = False
+        queue = [seed]
+        while queue and left.any():
+            x = queue.pop()
+            own = flat[starts[x] : starts[x + 1]]
+            mark[own] = 1
+            both = np.add.reduceat(mark[flat], starts[:-1])
+            mark[own] = 0
+            found = np.flatnonzero(left & (both >= least * (sizes + sizes[x] - both) - 1e-9))
+            left[found] = False
+            queue.extend(found.tolist())
+            a.extend([x] * len(found))
+            b.extend(found.tolist())
+    return a, b
+
+
+def overlaps(units: DataFrame, words: int, least: float) -> DataFrame:
+    """``a, b`` (a > b): links of nodes that connect what all pairs of one unit at ``least`` or more connect. ``units``: ``u, v, lo, hi, node, text``."""
+    ship(units.sparkSession)
+
+    def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, nodes, sets = None, [], []
+
+        def out() -> pa.RecordBatch:
+            a, b = overlap_forest(sets, least) if len(sets) > 1 else ([], [])
+            x, y = np.array(nodes, np.int64)[np.array(a, np.int64)], np.array(nodes, np.int64)[np.array(b, np.int64)]
+            return pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], ["a", "b"])
 
         for batch in batches:
-            cols = [batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4)]
-            if held:
-                cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
-            change = np.flatnonzero((np.diff(np.stack(cols[:3])) != 0).any(axis=0)) + 1
-            if not len(change):
-                held = cols
-                continue
-            yield out([c[: change[-1]] for c in cols])
-            held = [c[change[-1] :] for c in cols]
-        if held and len(held[0]):
-            yield out(held)
-
-    dealt = dealt.select(*columns).repartition("key", "lo", "hi").sortWithinPartitions(*columns)
+            *names, members, texts = (batch.column(k) for k in range(6))
+            for row, (name, node) in enumerate(zip(zip(*(c.to_pylist() for c in names)), members.to_pylist())):
+                if name != unit:
+                    if nodes:
+                        yield out()
+                    unit, nodes, sets = name, [], []
+                nodes.append(node)
+                sets.append(shingle_set(texts[row].as_py(), words))
+        if nodes:
+            yield out()
+
+    dealt = units.select("u", "v", "lo", "hi", "node", "text").repartition("u", "v", "lo", "hi").sortWithinPartitions("u", "v", "lo", "hi")
     return dealt.mapInArrow(f, "a long, b long").distinct()
 
 
@@ -216,9 +354,49 @@ def group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius:
     return found.join(by_fp, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, core: int = 7, reach: int = 11, agree: int = 3, shingle: int = 5, least: float = 0.8) -> DataFrame:
+    """``id_col, component_id``: the least id of all rows reachable over links, which are pairs whose sets of ``shingle``-word shingles have a Jaccard overlap of
+    ``least`` or more. Candidates are pairs of fingerprints (of ``words``-word shingles) within ``reach`` bits, and those of a group at ``core`` bits."""
+    text = F.coalesce(df[text_col], F.lit(""))
+    told = df.select(F.struct(df[id_col].alias("id"), F.xxhash64(text).alias("node"), F.octet_length(text).cast("long").alias("size")).alias("row"), text.alias("text"))
+    found = materialize(fingerprints(told, "row", "text", words).select("id.*", "fp"), "near-fingerprints")
+    nodes = materialize(found.groupBy("node").agg(F.min("id").alias("least"), F.min("size").alias("size"), F.min("fp").alias("fp")), "near-nodes")
+    fps = materialize(nodes.select("fp").distinct(), "near-distinct")
+    cores = materialize(components(links(fps, core, agree)).select(F.col("node").alias("fp"), "root"), "near-cores")
+    across = pairs_across(fps.join(cores, "fp", "left").select("fp", F.coalesce("root", F.lit(0).cast("long")).alias("core")), reach, agree)
+    grouped = nodes.join(cores, "fp", "left").select(F.coalesce("root", "fp").alias("u"), "node", "size")
+    within = grouped.join(grouped.groupBy("u").count().filter("count > 1").select("u"), "u").select("u", F.col("u").alias("v"), "node", "size")
+    members = materialize(within.unionByName(across.join(nodes, "fp").select("u", "v", "node", "size")), "near-members")
+
+    # tiles of large units
+    zero = F.lit(0).cast("long")
+    size = members.groupBy("u", "v").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    salts = F.greatest(F.ceil(F.col("n") * 2 / UNIT_TEXTS), F.ceil(F.col("bytes") * 2 / UNIT_BYTES)).cast("long")
+    large = materialize(size.filter((F.col("n") > UNIT_TEXTS) | (F.col("bytes") > UNIT_BYTES)).select("u", "v", salts.alias("salts")), "near-large")
+    salted = members.join(F.broadcast(large), ["u", "v"], "left").withColumn("own", F.pmod(F.xxhash64("node"), F.coalesce("salts", F.lit(1).cast("long"))))
+    tiled = salted.select("u", "v", "node", "own", F.explode(F.sequence(zero, F.coalesce("salts", F.lit(1).cast("long")) - 1)).alias("other"))
+    units = tiled.select("u", "v", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "node")
+    wanted = members.select("node").distinct()
+    texts = df.select(F.xxhash64(text).alias("node"), text.alias("text")).join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    member = components(overlaps(units.join(materialize(texts, "near-texts"), "node"), shingle, least))
+    rooted = nodes.join(member, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    first = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    by_node = materialize(rooted.join(first, "root").select("node", "component_id"), "near-classes")
+    return found.join(by_node, "node").select(F.col("id").alias(id_col), "component_id")
+
+
+def keep_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """As ``keep_one``, of the groups of ``near_duplicates``."""
+    return _first_rows(df, near_duplicates(df, id_col, text_col, **how), id_col)
+
+
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2, words: int = 3, seed: int = 42, agree: int = 2) -> DataFrame:
     """The row with the least id of each group, with all its columns; one row where rows share that id. Rows of a null id all stay."""
-    found = group(df, id_col, text_col, radius, words, seed, agree)
+    return _first_rows(df, group(df, id_col, text_col, radius, words, seed, agree), id_col)
+
+
+def _first_rows(df: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``df`` that lead a group of ``found``."""
     first = F.col(id_col) == F.col("component_id")
     by_id = found.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.count_if(first).alias("_n"))
     told = materialize(by_id.filter("_n <> 1"), "simhash-told")  # those that go are fewer than those that stay, and without repeated ids they are all
