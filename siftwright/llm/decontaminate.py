@@ -33,6 +33,8 @@ from siftwright.llm.common import materialize, ship, texts_of
 
 _WORD = re.compile(r"[^\W_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Words that shares are taken of at least: a few copies in a small corpus make no word common.
+_LEAST_WORDS = 100_000
 
 
 @dataclass(frozen=True)
@@ -179,15 +181,16 @@ def _scan(docs: DataFrame, seeds: Seeds, kind: str) -> DataFrame:
 
 
 def _rare(seeds: Seeds, counts: dict[int, int], rules: Rules) -> set[tuple[int, int]]:
-    """The n-grams (length, number) expected less than ``rules.chance`` times in a thousand words, from the counts of their words."""
-    total = max(1, sum(counts.values()))
+    """The n-grams (length, number) expected less than ``rules.chance`` times in a thousand words, from the counts of their words; and every item that is
+    shorter than an n-gram, as it has no other seed."""
+    total = max(_LEAST_WORDS, sum(counts.values()))
     out = set()
     for n, grams in seeds.grams.items():
         for k, gram in enumerate(grams):
             expected = 1000.0
             for w in gram:
                 expected *= max(1, counts.get(w, 0)) / total
-            if expected < rules.chance or total < 1000:  # too few words tell nothing
+            if n < rules.ngram or expected < rules.chance:
                 out.add((n, k))
     return out
 

@@ -32,3 +32,14 @@ def test_heavily_edited_and_half_copied_items(spark):
     bench = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id long, text string")
     assert {(r.doc_id, r.item_id) for r in decontaminate.find(df, bench).collect()} == {(k, k // per) for k in range(len(texts))}
     assert decontaminate.clean(df, bench).count() == 0
+
+
+def test_short_items_in_a_corpus_of_any_size(spark):
+    items = ["zebra", "two zebras", "the of and", "one two three four"]
+    bench = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    for n in (20, 3000):
+        fill = [R.choice(["the", "of", "and", "one", word()]) for _ in range(n)]
+        texts = [" ".join(fill + ["x", item, "y"] + fill) for item in items]
+        df = spark.createDataFrame([*enumerate(texts), (9, "nothing here")], "doc_id long, text string")
+        got = {(r.doc_id, r.item_id): r.score for r in decontaminate.find(df, bench).collect()}
+        assert all(got[k, k] == 1 for k in range(len(items))) and 9 not in {d for d, _ in got}
