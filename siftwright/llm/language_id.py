@@ -85,6 +85,8 @@ def expected_counts(word: str, prob: dict[str, float], longest: int, stranger: f
             spans.append((i, j, p))
             forward[j] += a * p
     total = forward[n]
+    if total < 1e-290:  # about to leave the range of floats: a long run that no piece covers tells nothing of the pieces
+        return total, {}
     backward = [0.0] * n + [1.0]
     counts: dict[str, float] = {}
     for i, j, p in reversed(spans):
