@@ -121,13 +121,14 @@ def records_in(f, begin: int, end: int) -> Iterator[Record]:
             at = found[1]
             continue
         # no record here: look for the next candidate
+        at += 1
         while at < end:
             f.seek(at)
             near = f.read(min(_READ, end - at) + len(MAGIC) - 1)
-            if len(near) <= len(MAGIC):
+            if len(near) < len(MAGIC):
                 return
-            spot = near.find(MAGIC, 1)
-            if spot > 0 and at + spot < end:
+            spot = near.find(MAGIC)
+            if spot >= 0 and at + spot < end:
                 at += spot
                 break
             at += max(1, len(near) - len(MAGIC) + 1)
