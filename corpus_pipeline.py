@@ -17,7 +17,8 @@ NEAR_SHINGLE, NEAR_SHARE = 5, 0.8
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages. Learned from the documents that name theirs."""
+    """Documents whose best learned language has a posterior of 0.5 among the learned ones, which are those that documents name. Texts in other languages
+    pass too, as some learned language is always best; in effect only texts without letters go."""
     return language_id.keep(docs, language_id.fit(docs, pieces()))
 
 
