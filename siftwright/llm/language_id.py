@@ -46,7 +46,7 @@ class Fit:
 
     texts_per_language: int = 400
     rounds: int = 2
-    longest_piece: int = 8
+    longest_piece: int = 15  # of letters, as long as the longest of the vocabulary
     stranger: float = 1e-6
     smoothing: float = 0.05
 

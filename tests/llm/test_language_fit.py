@@ -13,3 +13,10 @@ def test_a_long_run_that_no_piece_covers():
         got = language_id.fit_pieces(Counter({"ab": 3, run: 1}), pieces, how)
         assert set(got) == pieces and all(0 < x < 1 for x in got.values())
     assert language_id.fit_pieces(Counter({"ab": 3, "\u4e00" * 64: 1}), pieces, how) == plain
+
+
+def test_no_piece_of_the_vocabulary_is_left_out():
+    from siftwright.llm.vocabularies import pieces
+
+    learned = language_id.vocabulary(pieces(), language_id.Fit().longest_piece)
+    assert learned == language_id.vocabulary(pieces(), 1000) and "▁information" in learned
