@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
 import os
 import re
@@ -70,6 +71,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return Table(df, name).df
 
 
+try:  # gives memory that was freed back to the system; the C library may have no such call
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):
+    _trim = None
 _held: dict[object, object] = {}
 
 
@@ -86,6 +91,9 @@ def forget() -> None:
     """At a task's end: a worker that waits for the next one, perhaps of another operator, keeps vocabularies and weights but no table of words."""
     for x in _held.values():
         x.forget()
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
 
 
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:

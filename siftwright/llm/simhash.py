@@ -1,13 +1,13 @@
 """SimHash near-duplicates: 64-bit fingerprints, linked at a few differing bits, grouped into connected components.
 
-Fingerprints of equal value become one node first, so groups of copies cost one node. Two fingerprints within radius ``r`` agree on all
-but ``r`` of ``r + k`` stretches of bits, so each node goes to a bucket for every choice of ``k`` stretches; pairs within the radius
-meet in some bucket. A bucket is compared exactly, in tiles: rows are sorted by population count, tiles are compared by exclusive-or
-and bit counts, and tile pairs whose population counts differ by more than the radius are skipped, as they cannot link. A bucket of more than
-``TILE`` rows is dealt out: its rows are cut into tiles by population count and a salt, and each task gets one pair of tiles.
+Fingerprints of equal value become one node first, so groups of copies cost one node. Nodes are dealt to buckets in which every pair within the radius meets
+(``layout``). A bucket is compared exactly, in tiles: its rows are sorted by population count, tiles are compared by exclusive-or and bit counts, and
+tile pairs whose population counts differ by more than the radius are skipped, as they cannot link. Buckets have about ``BUCKET`` rows; one of more than ``TILE``
+is dealt out: its rows are cut into tiles by population count and a salt, and each task gets one pair of tiles.
 
 A task does not return all links but a forest of them that connects the same nodes, so a dense group of n nodes gives about n links.
-Components then come from alternating large-star and small-star rounds, each cut off by a table in the shared folder.
+Components then come from alternating large-star and small-star rounds, each cut off by a table in the shared folder. What a round joins are tables as they
+are, so Spark can split the join of a node that most links touch.
 
 ``near_duplicates`` uses fingerprints for candidates only; what links two texts is the exact Jaccard overlap of their shingles. Candidates are all pairs
 within a wide radius (``reach``) and all pairs of one group at a narrow one (``core``). A group is compared as a whole, and of pairs of different groups only
@@ -15,13 +15,14 @@ the texts that meet are sent, so a dense group of n texts gives about n rows, no
 
 Defined results: null and empty texts have no shingle, fingerprint 0, and are linked like any other; a text of fewer words than a shingle
 is one shingle; repeated rows and rows of equal id keep one result row each and share a component; a null id takes part, and a component's id is the
-least id that is not null; an empty table gives an empty table; only the named columns are read.
+least id that is not null; an empty table gives an empty table; only the named columns are read. Of each group ``keep_one`` and ``keep_near`` keep one row: the
+one with the least id, null last, and of rows that share it one with the least hash of its text; rows of another group that share the id are not touched.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +32,20 @@ from pyspark.sql import functions as F
 
 from siftwright.llm.common import Table, map_batches, materialize, ship, texts_of
 
+#: Rows of a bucket, or fewer; more rows in all make more buckets.
+BUCKET = 1024
+#: Rows of a tile.
+ROWS = 256
 #: Rows of a bucket that one task compares at most; larger buckets are dealt out as tile pairs.
-TILE = 4096
+TILE = 32_768
 #: Large buckets are found on the nodes whose hash is divisible by this; one that is missed is compared in one task.
 _ONE_OF = 32
-#: Buckets up to this size are compared by shifts of the sorted rows.
-_SMALL = 12
-#: Buckets up to this size are compared by shifts where all pairs are wanted.
-_SHIFTED = 64
+#: Low bits of a unit that hold its bucket's key.
+_KEY_BITS = 27
+#: Rows that are compared together, in whole units.
+_TOGETHER = 60_000
+#: Links that one task contracts at a time.
+_CONTRACT = 1_000_000
 #: Texts and their bytes that are compared in one unit at most; larger units are dealt out as tile pairs.
 UNIT_TEXTS, UNIT_BYTES = 1024, 8 << 20
 _BITS = np.array([[b >> k & 1 for k in range(8)] for b in range(256)], np.int64)
@@ -75,188 +82,198 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return map_batches(df.select(df[id_col].alias("id"), df[text_col].alias("text")), f, f"id {kind}, fp long")
 
 
-def forest(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links within the radius that connect what all such links connect, of distinct fingerprints, by tiles in order of population count."""
-    pops = np.bitwise_count(fps)
-    order = np.argsort(pops, kind="stable")
-    fps, pops = fps[order], pops[order].astype(np.int64)
-    left = np.arange(len(fps))  # not yet reached, in order of population count
-    a, b = [], []
-
-    def reach(tile: np.ndarray) -> np.ndarray:
-        """The nodes of ``left`` that link to the tile, after noting one link for each."""
-        nonlocal left
-        lo = np.searchsorted(pops[left], pops[tile].min() - radius)
-        hi = np.searchsorted(pops[left], pops[tile].max() + radius, side="right")
-        near = left[lo:hi]  # other tiles cannot link
-        if not len(near):
-            return near
-        hit = np.bitwise_count(fps[tile][:, None] ^ fps[near][None, :]) <= radius
-        found = hit.any(axis=0)
-        if found.any():
-            a.append(fps[tile[hit.argmax(axis=0)[found]]])
-            b.append(fps[near[found]])
-            left = np.concatenate([left[:lo], near[~found], left[hi:]])
-        return near[found]
-
-    while len(left):
-        seed, left = left[:1], left[1:]
-        queue = [reach(seed)]
-        while queue:
-            todo = queue.pop()
-            for k in range(0, len(todo), 64):
-                more = reach(todo[k : k + 64])
-                if len(more):
-                    queue.append(more)
-    none = np.empty(0, fps.dtype)
-    return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
-
-
-def _links_of_run(bucket: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links within the buckets; rows of a bucket stand together."""
-    edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-    sizes = np.diff(edges)
-    a, b = [], []
-    small = np.repeat(sizes <= _SMALL, sizes)
-    for step in range(1, min(_SMALL, int(sizes.max(initial=0)))):
-        same = (bucket[step:] == bucket[:-step]) & small[step:]
-        at = np.flatnonzero(same)
-        at = at[np.bitwise_count(fps[at] ^ fps[at + step]) <= radius]
-        a.append(fps[at])
-        b.append(fps[at + step])
-    for k in np.flatnonzero(sizes > _SMALL):
-        x, y = forest(np.unique(fps[edges[k] : edges[k + 1]]), radius)
-        a.append(x)
-        b.append(y)
-    none = np.empty(0, np.uint64)
-    a, b = np.concatenate([none, *a]), np.concatenate([none, *b])
-    keep = a != b
-    return a[keep], b[keep]
-
-
-def _masks(radius: int, agree: int) -> tuple[list[int], list[int]]:
-    """The bits of each stretch, and those of each choice of ``agree`` stretches."""
-    parts = radius + agree
-    cuts = [64 * k // parts for k in range(parts + 1)]
-    stretches = [(1 << cuts[k + 1]) - (1 << cuts[k]) for k in range(parts)]
-    return stretches, [sum(stretches[k] for k in chosen) for chosen in combinations(range(parts), agree)]
-
-
-def _dealt(nodes: DataFrame, radius: int, agree: int) -> DataFrame:
-    """``key, lo, hi`` and the columns of ``nodes``, distinct ``fp`` among them: a row for each bucket, and each tile pair of a large one. The low bits of a
-    key are the number of its choice of stretches."""
-    masks = _masks(radius, agree)[1]
-    low = len(masks).bit_length()
-    wide = min(63, max(m.bit_count() for m in masks) + 8 + low)  # more bits would tell no more buckets apart, and travel
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    # the bits of the chosen stretches, and the choice's number in place of a stretch that isn't chosen
-    keys = F.array(*(F.shiftleft(F.xxhash64(F.col("fp").bitwiseAND(F.lit(m).cast("long")), F.lit(n)), low).bitwiseAND(F.lit((1 << wide) - 1)).bitwiseOR(F.lit(n).cast("long")) for n, m in enumerate(signed)))
+def layout(n: int, radius: int) -> tuple[int, int, int]:
+    """Stretches, the bits of each that make a bucket's key, and whether a row also goes to the keys one bit away (0 or 1). Two fingerprints within the radius
+    differ by ``radius // stretches`` bits or fewer in some stretch: by none, so that they share its key, or by two at most, so that the two
+    keys have a neighbour in common. The more rows, the more bits, which keeps a bucket near ``BUCKET`` rows; pairs that meet are the same at every size."""
+    parts = radius + 1 if radius <= 3 else 4
+    if radius // parts > 2:
+        raise ValueError("a radius over 11 isn't supported")
+    ball, bits = int(radius > 3), 0
+    while bits < min(24, 64 // parts) and n * (1 + ball * bits) > BUCKET << bits:
+        bits += 1
+    return (parts if bits else 1), bits, ball
+
+
+def _dealt(nodes: DataFrame, radius: int) -> tuple[DataFrame, tuple[int, int, int]]:
+    """``unit`` and the columns of ``nodes`` (a table; distinct ``fp`` among them), sorted by unit and population count: a row for each bucket, and for each
+    tile pair of a large one. The low ``_KEY_BITS`` bits of a unit are the bucket's key, which holds the stretch's number and its bits."""
+    n = nodes.count()
+    parts, bits, ball = how = layout(n, radius)
     own = nodes.columns
-    rows = nodes.select(*own, F.explode(keys).alias("key"))
-    some = nodes.filter(F.pmod(F.xxhash64("fp"), F.lit(_ONE_OF)) == 0).select("fp", F.explode(keys).alias("key"))  # only to find which buckets are large
-    hot = Table(some.groupBy("key").count().filter(F.col("count") * _ONE_OF > TILE), "simhash-hot").df
-    zero = F.lit(0).cast("long")
-    if hot.isEmpty():
-        dealt = rows.select("key", zero.alias("lo"), zero.alias("hi"), *own)
-    else:  # tiles of a hot bucket: by population count, then by salt so that a tile has TILE / 2 rows or so
-        pop = F.bit_count("fp").cast("long")
-        cool = rows.join(hot, "key", "left_anti").select("key", zero.alias("lo"), zero.alias("hi"), *own)
-        warm = rows.join(hot.select("key"), "key").withColumn("pop", pop)
-        sizes = warm.groupBy("key", "pop").count().select("key", "pop", F.ceil(F.col("count") * 2 / TILE).cast("long").alias("salts"))
-        tiles = sizes.select("key", F.col("pop").alias("p2"), F.explode(F.sequence(zero, F.col("salts") - 1)).alias("s2"))
-        tile = lambda p, s: F.col(p) * F.lit(1 << 40) + F.col(s)
-        salted = warm.join(sizes, ["key", "pop"]).withColumn("s", F.pmod(F.xxhash64("fp"), F.col("salts")))
-        others = tiles.groupBy("key").agg(F.collect_list(tile("p2", "s2")).alias("others"))
-        near = F.filter("others", lambda o: F.abs(F.shiftright(o, 40) - F.col("pop")) <= radius)
-        warm = salted.join(others, "key").select("key", *own, tile("pop", "s").alias("own"), F.explode(near).alias("other"))
-        dealt = cool.unionByName(warm.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), *own))
-    return dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", *own)
-
-
-def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
-    """Whole buckets of sorted rows of longs: each row's bucket number, and the columns."""
-    held: list[np.ndarray] = []
-
-    def numbered(cols: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-        number = np.zeros(len(cols[0]), np.int64)
-        number[np.flatnonzero((np.diff(np.stack(cols[:3])) != 0).any(axis=0)) + 1] = 1
-        return number.cumsum(), cols
-
+    value = lambda s: F.shiftrightunsigned("fp", 64 // parts * s).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
+    keys = F.array(*(value(s).bitwiseXOR(F.lit(flip).cast("long")) * parts + s for s in range(parts) for flip in (0, *(1 << k for k in range(bits * ball)))))
+    rows = nodes.repartition(min(20_000, 1 + n // 50_000)).select(F.explode(keys).alias("key"), *own)  # a number, as a node makes many rows
+    cool = rows.select(F.col("key").alias("unit"), *own)
+    if n > TILE:  # else no bucket has more
+        some = nodes.filter(F.pmod(F.xxhash64("fp"), F.lit(_ONE_OF)) == 0).select(F.explode(keys).alias("key"))
+        hot = Table(some.groupBy("key").count().filter(F.col("count") * _ONE_OF > TILE).select("key"), "simhash-hot").df
+        if not hot.isEmpty():  # tiles of a hot bucket: by population count, then by salt so that a tile has TILE / 2 rows or so
+            zero = F.lit(0).cast("long")
+            pop = F.bit_count("fp").cast("long")
+            warm = rows.join(hot, "key", "left_semi").withColumn("pop", pop)
+            salts = F.ceil(F.col("count") * 2 / TILE).cast("long")
+            sizes = Table(warm.groupBy("key", "pop").count().select("key", "pop", salts.alias("salts")), "simhash-tiles").df
+            tile = lambda p, s: F.col(p) * F.lit(1 << 40) + F.col(s)
+            tiles = sizes.select("key", F.col("pop").alias("p2"), F.explode(F.sequence(zero, F.col("salts") - 1)).alias("s2"))
+            others = Table(tiles.groupBy("key").agg(F.collect_list(tile("p2", "s2")).alias("others")), "simhash-tiles").df
+            salted = warm.join(sizes, ["key", "pop"]).withColumn("s", F.pmod(F.xxhash64("fp"), F.col("salts"))).withColumn("own", tile("pop", "s"))
+            near = F.filter("others", lambda o: F.abs(F.shiftright(o, 40) - F.col("pop")) <= radius)
+            dealt = salted.join(others, "key").select("key", "own", *own, F.explode(near).alias("other"))
+            pair = F.shiftleft(F.xxhash64(F.least("own", "other"), F.greatest("own", "other")).bitwiseOR(F.lit(1)), _KEY_BITS)
+            cool = rows.join(hot, "key", "left_anti").select(F.col("key").alias("unit"), *own).unionByName(dealt.select(pair.bitwiseOR(F.col("key")).alias("unit"), *own))
+    return cool.repartition("unit").sortWithinPartitions("unit", F.bit_count("fp")), how
+
+
+def _by_unit(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns, of longs, of whole units."""
+    held: list[list[np.ndarray]] = []
+    n = 0
     for batch in batches:
-        cols = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
-        if held:
-            cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
-        change = np.flatnonzero((np.diff(np.stack(cols[:3])) != 0).any(axis=0)) + 1
-        if not len(change):
-            held = cols
+        held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+        n += batch.num_rows
+        if n < _TOGETHER:
             continue
-        yield numbered([c[: change[-1]] for c in cols])
-        held = [c[change[-1] :] for c in cols]
-    if held and len(held[0]):
-        yield numbered(held)
+        cols = [np.concatenate(c) for c in zip(*held)]
+        cut = int(np.searchsorted(cols[0], cols[0][-1]))  # units are sorted
+        if cut:
+            yield [c[:cut] for c in cols]
+        held, n = [[c[cut:] for c in cols]], n - cut
+    if n:
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
+@dataclass
+class Tally:
+    """Tile pairs that were compared, and those that were skipped as their population counts differ by more than the radius."""
+
+    compared: int = 0
+    skipped: int = 0
 
 
-def links(nodes: DataFrame, radius: int = 2, agree: int = 2) -> DataFrame:
-    """``a, b`` (a > b as signed longs): links that connect the distinct ``fp`` of ``nodes`` as all links within the radius would. Buckets are made of
-    ``agree`` of ``radius + agree`` stretches: more stretches give smaller buckets and more of them."""
+def tile_hits(unit: np.ndarray, fps: np.ndarray, radius: int, tally: Tally) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (x, y), x < y, of the pairs of each unit within the radius, tile pair by tile pair. Rows are sorted by unit, then by population count. A unit of more
+    than ``ROWS`` rows has tiles of its own; smaller ones share a tile."""
+    edges = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1], [True]])).tolist()
+    pops = np.bitwise_count(fps)
+
+    def hits(lo: int, hi: int, lo2: int, hi2: int) -> tuple[np.ndarray, np.ndarray]:
+        tally.compared += 1
+        x, y = np.nonzero(np.bitwise_count(fps[lo:hi, None] ^ fps[None, lo2:hi2]) <= radius)
+        x, y = x + lo, y + lo2
+        keep = (x < y) & (unit[x] == unit[y])
+        return x[keep], y[keep]
+
+    begin = 0  # of the tile that small units share
+    for lo, hi in zip(edges, [*edges[1:], edges[-1]]):
+        if hi - begin > ROWS or lo == hi:
+            if lo > begin:
+                yield hits(begin, lo, begin, lo)
+            begin = lo
+        if hi - lo > ROWS:
+            tiles = [(k, min(hi, k + ROWS)) for k in range(lo, hi, ROWS)]
+            for k, (a, b) in enumerate(tiles):
+                for m, (c, d) in enumerate(tiles[k:], k):
+                    if int(pops[c]) - int(pops[b - 1]) > radius:
+                        tally.skipped += len(tiles) - m
+                        break
+                    yield hits(a, b, c, d)
+            begin = hi
+
+
+class Forest:
+    """Union-find over arrays. Roots are the least places."""
+
+    def __init__(self, n: int):
+        self.parent = np.arange(n)
+
+    def roots(self, x: np.ndarray) -> np.ndarray:
+        r = self.parent[x]
+        while True:
+            up = self.parent[r]
+            if (up == r).all():
+                self.parent[x] = r
+                return r
+            r = up
+
+    def add(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Which of the links joined two trees."""
+        used = []
+        at = np.arange(len(x))
+        while len(at):
+            a, b = self.roots(x[at]), self.roots(y[at])
+            apart = a != b
+            at, low, high = at[apart], np.minimum(a, b)[apart], np.maximum(a, b)[apart]
+            high, first = np.unique(high, return_index=True)
+            self.parent[high] = low[first]
+            used.append(at[first])
+        return np.concatenate([np.empty(0, np.int64), *used])
+
+
+def forest(unit: np.ndarray, fps: np.ndarray, radius: int, tally: Tally | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Links within the radius that connect what all such links of a unit connect. Rows are sorted as for ``tile_hits``."""
+    trees = Forest(len(fps))
+    a, b = [np.empty(0, fps.dtype)], [np.empty(0, fps.dtype)]
+    for x, y in tile_hits(unit, fps, radius, tally or Tally()):
+        if len(x):
+            used = trees.add(x, y)
+            a.append(fps[x[used]])
+            b.append(fps[y[used]])
+    a, b = np.concatenate(a), np.concatenate(b)
+    return a[a != b], b[a != b]
+
+
+def _edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    a, b = a.view(np.int64), b.view(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
+
+
+def links(nodes: DataFrame, radius: int = 2) -> DataFrame:
+    """``a, b`` (a > b as signed longs): links that connect the distinct ``fp`` of ``nodes``, a table, as all links within the radius would."""
     ship(nodes.sparkSession)
 
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, cols in _by_bucket(batches):
-            a, b = _links_of_run(number, cols[3].view(np.uint64), radius)
-            a, b = a.view(np.int64), b.view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
-
-    return _dealt(nodes.select("fp"), radius, agree).mapInArrow(f, "a long, b long").distinct()
-
-
-def _pairs_of_run(bucket: np.ndarray, fps: np.ndarray, core: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of all pairs within the radius, within the buckets, that have no core in common; rows of a bucket stand together."""
-    edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-    sizes = np.diff(edges)
-    ends = np.repeat(edges[1:], sizes)
-    apart = lambda x, y: (np.bitwise_count(fps[x] ^ fps[y]) <= radius) & ((core[x] != core[y]) | (core[x] == 0))
-    a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    at = np.flatnonzero(np.repeat(sizes <= _SHIFTED, sizes))
-    for step in range(1, _SHIFTED):
-        at = at[at + step < ends[at]]
-        if not len(at):
-            break
-        hit = at[apart(at, at + step)]
-        a.append(hit)
-        b.append(hit + step)
-    for k in np.flatnonzero(sizes > _SHIFTED):
-        lo, hi = int(edges[k]), int(edges[k + 1])
-        for begin in range(lo, hi, 256):
-            x = np.arange(begin, min(hi, begin + 256))
-            i, j = np.nonzero(np.bitwise_count(fps[x][:, None] ^ fps[begin:hi][None, :]) <= radius)
-            x, y = x[i], j + begin
-            keep = (x < y) & apart(x, y)
-            a.append(x[keep])
-            b.append(y[keep])
-    return np.concatenate(a), np.concatenate(b)
-
-
-def pairs_across(nodes: DataFrame, radius: int, agree: int) -> DataFrame:
-    """``u, v, fp`` (u < v): for two groups that have a pair within the radius, the fingerprints of all such pairs. ``nodes`` has distinct ``fp`` and ``core``, a
-    group's name, or 0 for a fingerprint that is a group by itself."""
+        for unit, fps in _by_unit(batches):
+            yield _edges(*forest(unit, fps.view(np.uint64), radius))
+
+    return _dealt(nodes.select("fp"), radius)[0].mapInArrow(f, "a long, b long").distinct()
+
+
+def _first_meeting(fps: np.ndarray, other: np.ndarray, key: np.ndarray, how: tuple[int, int, int]) -> np.ndarray:
+    """Whether this bucket is the first in which the pair meets: that of the first stretch in which they meet at all, and of the least common key there."""
+    parts, bits, ball = how
+    shifts = np.arange(parts, dtype=np.uint64) * np.uint64(64 // parts)
+    mask = np.uint64((1 << bits) - 1)
+    v, w = (fps[:, None] >> shifts) & mask, (other[:, None] >> shifts) & mask
+    s = (np.bitwise_count(v ^ w) <= 2 * ball).argmax(axis=1)
+    at = np.arange(len(fps))
+    v, w = v[at, s], w[at, s]
+    low = (v ^ w) & (~(v ^ w) + np.uint64(1))
+    common = np.minimum(v ^ low, w ^ low) if ball else v
+    return key.astype(np.uint64) == common * np.uint64(parts) + s.astype(np.uint64)
+
+
+def pairs_across(nodes: DataFrame, radius: int) -> DataFrame:
+    """``u, v, fp`` (u < v): for two groups that have a pair within the radius, the fingerprints of all such pairs. ``nodes``, a table, has distinct ``fp`` and
+    ``core``, a group's name, or 0 for a fingerprint that is a group by itself."""
     ship(nodes.sparkSession)
-    stretches, masks = _masks(radius, agree)
-    low = len(masks).bit_length()
+    dealt, how = _dealt(nodes.select("fp", "core"), radius)
 
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, choices = np.array(stretches, np.uint64), np.array(masks, np.uint64)
-        for number, (key, _, _, fps, core) in _by_bucket(batches):
-            a, b = _pairs_of_run(number, fps.view(np.uint64), core, radius)
-            same = ((fps[a] ^ fps[b]).view(np.uint64)[:, None] & bits[None, :]) == 0
-            first = ((same & (same.cumsum(axis=1) <= agree)) * bits[None, :]).sum(axis=1, dtype=np.uint64)
-            mine = first == choices[key[a] & ((1 << low) - 1)]  # a pair counts in the first of the buckets where it meets
-            a, b = a[mine], b[mine]
-            name = np.where(core == 0, fps, core)
-            u, v = np.minimum(name[a], name[b]), np.maximum(name[a], name[b])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in ((u, u), (v, v), (fps[a], fps[b]))], ["u", "v", "fp"])
-
-    return _dealt(nodes.select("fp", "core"), radius, agree).mapInArrow(f, "u long, v long, fp long").distinct()
+        for unit, signed, core in _by_unit(batches):
+            fps, key = signed.view(np.uint64), unit & ((1 << _KEY_BITS) - 1)
+            name = np.where(core == 0, signed, core)
+            for x, y in tile_hits(unit, fps, radius, Tally()):
+                keep = ((core[x] != core[y]) | (core[x] == 0)) & (fps[x] != fps[y])
+                x, y = x[keep], y[keep]
+                if not len(x):
+                    continue
+                first = _first_meeting(fps[x], fps[y], key[x], how)
+                x, y = x[first], y[first]
+                u, v = np.minimum(name[x], name[y]), np.maximum(name[x], name[y])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in ((u, u), (v, v), (signed[x], signed[y]))], ["u", "v", "fp"])
+
+    return dealt.mapInArrow(f, "u long, v long, fp long").distinct()
 
 
 def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
@@ -304,8 +321,7 @@ def overlaps(units: DataFrame, words: int, least: float) -> DataFrame:
 
         def out() -> pa.RecordBatch:
             a, b = overlap_forest(sets, least) if len(sets) > 1 else ([], [])
-            x, y = np.array(nodes, np.int64)[np.array(a, np.int64)], np.array(nodes, np.int64)[np.array(b, np.int64)]
-            return pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], ["a", "b"])
+            return _edges(np.array(nodes, np.int64)[np.array(a, np.int64)], np.array(nodes, np.int64)[np.array(b, np.int64)])
 
         for batch in batches:
             *names, members, texts = (batch.column(k) for k in range(6))
@@ -323,86 +339,145 @@ def overlaps(units: DataFrame, words: int, least: float) -> DataFrame:
     return dealt.mapInArrow(f, "a long, b long").distinct()
 
 
+def contract(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each node that has a link, and the least node that these links lead to, but for those that are least themselves."""
+    names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    trees = Forest(len(names))
+    trees.add(at[: len(a)], at[len(a) :])
+    roots = trees.roots(np.arange(len(names)))
+    moved = roots != np.arange(len(names))
+    return names[moved], names[roots[moved]]
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """``node, root`` of every node that has a link: the least node of its component. Alternates large-star and small-star until nothing changes."""
-    table = Table(edges, "simhash-links")
+    """``node, root`` of every node that has a link: the least node of its component. Each task contracts its own links; then large-star and small-star alternate
+    until nothing changes."""
+    ship(edges.sparkSession)
+
+    def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        n = 0
+
+        def out() -> pa.RecordBatch:
+            a, b = contract(*(np.concatenate(c) for c in zip(*held)))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        for batch in batches:
+            held.append(tuple(c.to_numpy(zero_copy_only=False) for c in batch.columns))
+            n += batch.num_rows
+            if n >= _CONTRACT:
+                yield out()
+                n = 0
+        if held:
+            yield out()
+
+    table = Table(edges.mapInArrow(f, "a long, b long"), "simhash-links")
     before = None
     while True:
         e = table.df  # a > b
         both = e.union(e.select("b", "a").toDF("a", "b"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a > b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").filter("b > m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.toDF("a", "b")).distinct()
+        least = Table(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "simhash-least")
+        large = Table(both.join(least.df, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a > b").distinct(), "simhash-large")
+        least.drop()
+        least = Table(large.df.groupBy("a").agg(F.min("b").alias("m")), "simhash-least")
+        small = large.df.join(least.df, "a").filter("b > m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.df.toDF("a", "b")).distinct()
         after = Table(small, "simhash-links")
-        table.drop()
+        for t in (table, large, least):
+            t.drop()
         table = after
         now = table.df.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long")), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if now == before:
-            return table.df.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        if now == before or not now[0]:
+            return table.df.union(table.df.select("b", "b").distinct().toDF("a", "b")).toDF("node", "root")
         before = now
 
 
-def group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2, words: int = 3, seed: int = 42, agree: int = 2) -> DataFrame:
+def _told(df: DataFrame, id_col: str, text_col: str, words: int, seed: int) -> DataFrame:
+    """``id, node, size, fp`` of each row; ``node`` is the text's hash and ``size`` its bytes."""
+    text = F.coalesce(df[text_col], F.lit(""))
+    told = df.select(F.struct(df[id_col].alias("id"), F.xxhash64(text).alias("node"), F.octet_length(text).cast("long").alias("size")).alias("row"), text.alias("text"))
+    return materialize(fingerprints(told, "row", "text", words, seed).select("id.*", "fp"), "simhash-fingerprints")
+
+
+def _led(found: DataFrame, member: DataFrame, name: str) -> DataFrame:
+    """``found`` (``id, node`` and the column ``name``) with ``component_id`` and ``leads``. ``member`` has the root of every ``name`` that has a link."""
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "node")
+    own = materialize(found.groupBy(name).agg(F.min(order).alias("first")), "simhash-own")
+    linked = materialize(own.join(member.withColumnRenamed("node", "__sw_node"), F.col(name) == F.col("__sw_node")).select(name, "first", "root"), "simhash-linked")
+    first = materialize(linked.groupBy("root").agg(F.min("first").alias("lead")), "simhash-first")
+    lead = linked.join(first, "root").select(F.col(name).alias("_name"), "lead")
+    classes = materialize(own.join(lead, F.col(name) == F.col("_name"), "left").select(F.col(name).alias("_name"), F.coalesce("lead", "first").alias("lead")), "simhash-classes")
+    leads = F.col("lead.id").eqNullSafe(F.col("id")) & (F.col("lead.node") == F.col("node"))
+    return found.join(classes, F.col(name) == F.col("_name")).select(*found.columns, F.col("lead.id").alias("component_id"), leads.alias("leads"))
+
+
+def _grouped(df: DataFrame, id_col: str, text_col: str, radius: int, words: int, seed: int) -> DataFrame:
+    found = _told(df, id_col, text_col, words, seed).drop("size")
+    nodes = materialize(found.select("fp").distinct(), "simhash-nodes")
+    return _led(found, components(links(nodes, radius)), "fp")
+
+
+def group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2, words: int = 3, seed: int = 42) -> DataFrame:
     """``id_col, fp, component_id``: the least id of all rows reachable over links, the row itself included."""
-    found = materialize(fingerprints(df, id_col, text_col, words, seed), "simhash-fingerprints")
-    nodes = materialize(found.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes")
-    member = components(links(nodes.select("fp"), radius, agree)).select(F.col("node").alias("fp"), "root")
-    rooted = nodes.join(member, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = materialize(rooted.join(least, "root").select("fp", "component_id"), "simhash-classes")
-    return found.join(by_fp, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    return _grouped(df, id_col, text_col, radius, words, seed).select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, core: int = 7, reach: int = 11, agree: int = 3, shingle: int = 5, least: float = 0.8) -> DataFrame:
-    """``id_col, component_id``: the least id of all rows reachable over links, which are pairs whose sets of ``shingle``-word shingles have a Jaccard overlap of
-    ``least`` or more. Candidates are pairs of fingerprints (of ``words``-word shingles) within ``reach`` bits, and those of a group at ``core`` bits."""
-    text = F.coalesce(df[text_col], F.lit(""))
-    told = df.select(F.struct(df[id_col].alias("id"), F.xxhash64(text).alias("node"), F.octet_length(text).cast("long").alias("size")).alias("row"), text.alias("text"))
-    found = materialize(fingerprints(told, "row", "text", words).select("id.*", "fp"), "near-fingerprints")
-    nodes = materialize(found.groupBy("node").agg(F.min("id").alias("least"), F.min("size").alias("size"), F.min("fp").alias("fp")), "near-nodes")
+def _near(df: DataFrame, id_col: str, text_col: str, words: int, core: int, reach: int, shingle: int, least: float, seed: int = 42) -> DataFrame:
+    found = _told(df, id_col, text_col, words, seed)
+    nodes = materialize(found.groupBy("node").agg(F.min("size").alias("size"), F.min("fp").alias("fp")), "near-nodes")
     fps = materialize(nodes.select("fp").distinct(), "near-distinct")
-    cores = materialize(components(links(fps, core, agree)).select(F.col("node").alias("fp"), "root"), "near-cores")
-    across = pairs_across(fps.join(cores, "fp", "left").select("fp", F.coalesce("root", F.lit(0).cast("long")).alias("core")), reach, agree)
-    grouped = nodes.join(cores, "fp", "left").select(F.coalesce("root", "fp").alias("u"), "node", "size")
-    within = grouped.join(grouped.groupBy("u").count().filter("count > 1").select("u"), "u").select("u", F.col("u").alias("v"), "node", "size")
+    cores = materialize(components(links(fps, core)), "near-cores").toDF("_fp", "root")
+    cored = materialize(fps.join(cores, F.col("fp") == F.col("_fp"), "left").select("fp", F.coalesce("root", F.lit(0).cast("long")).alias("core")), "near-cored")
+    across = pairs_across(cored, reach)
+    grouped = materialize(nodes.join(cores, F.col("fp") == F.col("_fp"), "left").select(F.coalesce("root", "fp").alias("u"), "node", "size"), "near-grouped")
+    several = materialize(grouped.groupBy("u").count().filter("count > 1").select("u"), "near-several")
+    within = grouped.join(several, "u", "left_semi").select("u", F.col("u").alias("v"), "node", "size")
     members = materialize(within.unionByName(across.join(nodes, "fp").select("u", "v", "node", "size")), "near-members")
 
     # tiles of large units
-    zero = F.lit(0).cast("long")
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     size = members.groupBy("u", "v").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
     salts = F.greatest(F.ceil(F.col("n") * 2 / UNIT_TEXTS), F.ceil(F.col("bytes") * 2 / UNIT_BYTES)).cast("long")
     large = materialize(size.filter((F.col("n") > UNIT_TEXTS) | (F.col("bytes") > UNIT_BYTES)).select("u", "v", salts.alias("salts")), "near-large")
-    salted = members.join(F.broadcast(large), ["u", "v"], "left").withColumn("own", F.pmod(F.xxhash64("node"), F.coalesce("salts", F.lit(1).cast("long"))))
-    tiled = salted.select("u", "v", "node", "own", F.explode(F.sequence(zero, F.coalesce("salts", F.lit(1).cast("long")) - 1)).alias("other"))
+    salted = members.join(large, ["u", "v"], "left").withColumn("salts", F.coalesce("salts", one)).withColumn("own", F.pmod(F.xxhash64("node"), F.col("salts")))
+    tiled = salted.select("u", "v", "node", "own", F.explode(F.sequence(zero, F.col("salts") - 1)).alias("other"))
     units = tiled.select("u", "v", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "node")
-    wanted = members.select("node").distinct()
-    texts = df.select(F.xxhash64(text).alias("node"), text.alias("text")).join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    wanted = materialize(members.select("node").distinct(), "near-wanted")
+    text = F.coalesce(df[text_col], F.lit(""))
+    texts = df.select(F.xxhash64(text).alias("node"), text.alias("text")).join(wanted, "node", "left_semi").dropDuplicates(["node"])
     member = components(overlaps(units.join(materialize(texts, "near-texts"), "node"), shingle, least))
-    rooted = nodes.join(member, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    first = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_node = materialize(rooted.join(first, "root").select("node", "component_id"), "near-classes")
-    return found.join(by_node, "node").select(F.col("id").alias(id_col), "component_id")
+    return _led(found.select("id", "node"), member, "node")
+
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, core: int = 7, reach: int = 11, shingle: int = 5, least: float = 0.8) -> DataFrame:
+    """``id_col, component_id``: the least id of all rows reachable over links, which are pairs whose sets of ``shingle``-word shingles have a Jaccard overlap of
+    ``least`` or more. Candidates are pairs of fingerprints (of ``words``-word shingles) within ``reach`` bits, and those of a group at ``core`` bits."""
+    return _near(df, id_col, text_col, words, core, reach, shingle, least).select(F.col("id").alias(id_col), "component_id")
 
 
-def keep_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+def keep_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, core: int = 7, reach: int = 11, shingle: int = 5, least: float = 0.8) -> DataFrame:
     """As ``keep_one``, of the groups of ``near_duplicates``."""
-    return _first_rows(df, near_duplicates(df, id_col, text_col, **how), id_col)
+    return _first_rows(df, _near(df, id_col, text_col, words, core, reach, shingle, least), id_col, text_col)
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2, words: int = 3, seed: int = 42, agree: int = 2) -> DataFrame:
-    """The row with the least id of each group, with all its columns; one row where rows share that id. Rows of a null id all stay."""
-    return _first_rows(df, group(df, id_col, text_col, radius, words, seed, agree), id_col)
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2, words: int = 3, seed: int = 42) -> DataFrame:
+    """One row of each group of ``group``, with all its columns: that with the least id."""
+    return _first_rows(df, _grouped(df, id_col, text_col, radius, words, seed), id_col, text_col)
 
 
-def _first_rows(df: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
-    """The rows of ``df`` that lead a group of ``found``."""
-    first = F.col(id_col) == F.col("component_id")
-    by_id = found.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.count_if(first).alias("_n"))
-    told = materialize(by_id.filter("_n <> 1"), "simhash-told")  # those that go are fewer than those that stay, and without repeated ids they are all
-    kept = df.join(told.filter("_n = 0").select("_id"), F.col(id_col) == F.col("_id"), "left_anti")
-    twice = told.filter("_n > 1").select("_id")
-    if twice.isEmpty():
+def _first_rows(df: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``df`` that lead their group. Where ids don't repeat, the ids of those that go decide; else the id and the text's hash."""
+    found = materialize(found.select("id", "node", "leads"), "simhash-leads")
+    by_id = found.groupBy(F.col("id").alias("__sw_id")).agg(F.count("*").alias("_n"), F.count_if("leads").alias("_leads"))
+    told = materialize(by_id.filter("_leads <> 1 or _n <> 1"), "simhash-told")  # those that go are fewer than those that stay
+    here = df[id_col]
+    kept = df.join(told.filter("_leads = 0 and __sw_id is not null").select("__sw_id"), here == F.col("__sw_id"), "left_anti")
+    mixed = materialize(told.filter("_leads > 0 or __sw_id is null").select("__sw_id"), "simhash-mixed")
+    if mixed.isEmpty():
         return kept
-    same = F.col(id_col) == F.col("_id")
-    return kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates([id_col]))
+    stay = materialize(found.filter("leads").select(F.col("id").alias("__sw_id"), F.col("node").alias("__sw_node")).distinct(), "simhash-stay")
+    plain = kept.join(mixed, here.eqNullSafe(F.col("__sw_id")), "left_anti")
+    some = kept.join(mixed, here.eqNullSafe(F.col("__sw_id")), "left_semi")
+    node = F.xxhash64(F.coalesce(df[text_col], F.lit("")))
+    once = some.join(stay, here.eqNullSafe(F.col("__sw_id")) & (node == F.col("__sw_node"))).dropDuplicates(["__sw_id", "__sw_node"])
+    return plain.unionByName(once.drop("__sw_id", "__sw_node"))
