@@ -43,3 +43,25 @@ def test_short_items_in_a_corpus_of_any_size(spark):
         df = spark.createDataFrame([*enumerate(texts), (9, "nothing here")], "doc_id long, text string")
         got = {(r.doc_id, r.item_id): r.score for r in decontaminate.find(df, bench).collect()}
         assert all(got[k, k] == 1 for k in range(len(items))) and 9 not in {d for d, _ in got}
+
+
+def test_a_template_that_many_items_share(spark):
+    template = noise(12)
+    items = [template + noise(40) for _ in range(1000)]
+    bench = spark.createDataFrame([*enumerate(" ".join(t) for t in items)], "item_id long, text string")
+    texts = [noise(200) + template + noise(200), noise(100) + items[17] + noise(100), noise(50)]
+    df = spark.createDataFrame([*enumerate(" ".join(t) for t in texts)], "doc_id long, text string")
+    seeds = decontaminate.Seeds([(k, " ".join(t)) for k, t in enumerate(items)], decontaminate.Rules())
+    assert len({item for item, *_ in seeds.windows(seeds.numbers(" ".join(texts[0])))}) == 1000
+    assert {(r.doc_id, r.item_id) for r in decontaminate.find(df, bench).collect()} == {(1, 17)}
+
+
+def test_a_clean_row_that_shares_an_id_stays(spark):
+    item = noise(30)
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(item)), (3, None)], "item_id long, text string")
+    clean, dirty = " ".join(noise(50)), " ".join(noise(50) + item)
+    df = spark.createDataFrame([(7, clean, "x"), (7, dirty, "x"), (None, dirty, "x"), (None, clean, "x"), (8, clean, "x"), (9, dirty + " x" * 200_000, "x")], "doc_id long, text string, id string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.find(df, bench).collect()} == {(d, i) for d in (7, None, 9) for i in (1, 2)}
+    got = decontaminate.clean(df, bench)
+    assert got.columns == df.columns
+    assert sorted((str(r.doc_id), r.text) for r in got.collect()) == sorted([("7", clean), ("None", clean), ("8", clean)])
