@@ -108,9 +108,11 @@ def test_simhash_query(spark):
     assert by_id(q.op2_simhash(spark, SF), "fingerprint", "component_id") == want
 
 
-@pytest.mark.parametrize("radius, agree, tile", [(2, 2, 4096), (2, 2, 16), (6, 3, 4096), (3, 2, 8)])
-def test_links_connect_what_all_pairs_connect(spark, monkeypatch, radius, agree, tile):
+@pytest.mark.parametrize("radius, tile, bucket", [(2, 4096, 1024), (2, 16, 8), (7, 4096, 16), (11, 4096, 1024), (11, 32, 64), (3, 8, 4), (0, 8, 4)])
+def test_links_connect_what_all_pairs_connect(spark, monkeypatch, radius, tile, bucket):
     monkeypatch.setattr(simhash, "TILE", tile)
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    monkeypatch.setattr(simhash, "ROWS", 8)
     monkeypatch.setattr(simhash, "_ONE_OF", 1)
     r = random.Random(radius)
     values = set()
@@ -123,7 +125,7 @@ def test_links_connect_what_all_pairs_connect(spark, monkeypatch, radius, agree,
     values = sorted(values)
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
     nodes = spark.createDataFrame([(s,) for s in signed], "fp long")
-    found = {x.node: x.root for x in simhash.components(simhash.links(nodes, radius, agree)).collect()}
+    found = {x.node: x.root for x in simhash.components(simhash.links(nodes, radius)).collect()}
     groups, want = collections.defaultdict(set), collections.defaultdict(set)
     for s, root in zip(signed, plain_components(values, radius)):
         groups[found.get(s, s)].add(s)
@@ -134,11 +136,25 @@ def test_links_connect_what_all_pairs_connect(spark, monkeypatch, radius, agree,
 def test_forest_is_sparse_and_connects():
     base = np.uint64(12345678901234567)
     fps = np.array([base ^ np.uint64(1 << a) ^ np.uint64(1 << b) for a in range(30) for b in range(a)], np.uint64)
-    a, b = simhash.forest(fps, 4)
+    fps = fps[np.argsort(np.bitwise_count(fps), kind="stable")]
+    a, b = simhash.forest(np.zeros(len(fps), np.int64), fps, 4)
     assert len(a) == len(fps) - 1
     assert all(bin(int(x) ^ int(y)).count("1") <= 4 for x, y in zip(a, b))
 
 
+def test_tile_pairs_are_skipped_by_population_count(spark):
+    """On a real table: the tiles that the query compares are skipped where no pair can link, and no pair is lost."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").limit(4000).collect()
+    fps = np.unique(np.array([simhash.fingerprint(r.text) for r in rows], np.uint64))
+    fps = fps[np.argsort(np.bitwise_count(fps), kind="stable")]
+    tally = simhash.Tally()
+    got = {(x, y) for xs, ys in simhash.tile_hits(np.zeros(len(fps), np.int64), fps, 2, tally) for x, y in zip(xs.tolist(), ys.tolist())}
+    x, y = np.nonzero(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 2)
+    assert got == {(a, b) for a, b in zip(x.tolist(), y.tolist()) if a < b}
+    n = -(-len(fps) // simhash.ROWS)
+    assert tally.compared + tally.skipped == n * (n + 1) // 2 and tally.skipped > n
+
+
 def test_simhash_odd_rows(spark):
     df = docs(spark, ODD + ["one two three"], [*range(len(ODD)), 7]).unionByName(docs(spark, ["lonely words here"], [None]))
     out = simhash.group(df).collect()
@@ -415,7 +431,7 @@ def test_forward_sums_all_segmentations():
             want = plain_probability("▁" + w, {p: v[k] for p, v in prob.items()}, how.stranger, how.longest_piece + 1)
             assert got[k] == pytest.approx(np.log(want))
             total, counts = language_id.expected_counts("▁" + w, {p: v[k] for p, v in prob.items()}, how.longest_piece, how.stranger)
-            assert total == pytest.approx(want)
+            assert total == pytest.approx(np.log(want))
             assert sum(len(p) * n for p, n in counts.items()) == pytest.approx(len(w) + 1)  # the pieces cover the word
 
 
@@ -507,7 +523,7 @@ def test_edited_copies_and_odd_rows(spark, monkeypatch):
     bench = spark.createDataFrame([(1, " ".join(item), "c"), (2, None, "c"), (3, "", "c"), (4, "short item", "c"), (1, " ".join(item), "c")], "item_id long, text string, id string")
     df = docs(spark, texts)
     for seeds in (2_000_000, 30):
-        got = {(x.doc_id, x.item_id): x.score for x in decontaminate.find(df, bench, decontaminate.Rules(broadcast_seeds=seeds)).collect()}
+        got = {(x.doc_id, x.item_id): x.score for x in decontaminate.find(df, bench, decontaminate.Rules(broadcast_words=seeds)).collect()}
         assert set(got) == {(3, 1), (4, 1), (6, 1)} and got[3, 1] == got[6, 1] == 1 and 0.8 <= got[4, 1] < 1
     clean = decontaminate.clean(df, bench)
     assert sorted(x.doc_id for x in clean.collect()) == [0, 1, 2, 5] and clean.columns == df.columns
