@@ -12,7 +12,7 @@ from siftwright.llm.vocabularies import pieces, word_bpe
 
 #: Near-duplicates share at least NEAR_SHARE of their NEAR_SHINGLE-word shingles, compared exactly. Candidates are pairs whose fingerprints of three-word
 #: shingles differ by NEAR_REACH bits or fewer, and all pairs of a group linked at NEAR_BITS (README).
-NEAR_WORDS, NEAR_BITS, NEAR_REACH, NEAR_AGREE = 3, 7, 11, 3
+NEAR_WORDS, NEAR_BITS, NEAR_REACH = 3, 7, 11
 NEAR_SHINGLE, NEAR_SHARE = 5, 0.8
 
 
@@ -29,7 +29,7 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group."""
-    return simhash.keep_near(docs, words=NEAR_WORDS, core=NEAR_BITS, reach=NEAR_REACH, agree=NEAR_AGREE, shingle=NEAR_SHINGLE, least=NEAR_SHARE)
+    return simhash.keep_near(docs, words=NEAR_WORDS, core=NEAR_BITS, reach=NEAR_REACH, shingle=NEAR_SHINGLE, least=NEAR_SHARE)
 
 
 def decontaminate_from_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
