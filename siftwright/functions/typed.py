@@ -129,7 +129,8 @@ def _decimal_error(c: Column, column: ColumnContract) -> Column:
 def error_of(c: Column, column: ColumnContract) -> Column:
     """The type error's code of a field that isn't empty, or null."""
     if column.type == "integer":
-        return F.when(~stripped(c).rlike(r"^[+-]?[0-9]+(?:_[0-9]+)*$"), TYPE_MISMATCH)
+        digits = r"^[+-]?[0_]*[0-9](?:_?[0-9]){0,37}$"  # what a column holds; a longer integer would turn into null
+        return F.when(~stripped(c).rlike(r"^[+-]?[0-9]+(?:_[0-9]+)*$"), TYPE_MISMATCH).when(~stripped(c).rlike(digits), DECIMAL_PRECISION_EXCEEDED)
     if column.type == "decimal":
         return _decimal_error(c, column)
     if column.type in ("date", "timestamp"):

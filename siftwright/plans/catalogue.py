@@ -6,8 +6,6 @@ Each query runs the operator's own code; its SQL says independently what must co
 from __future__ import annotations
 
 import atexit
-import os
-import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import date
@@ -20,6 +18,7 @@ from siftwright.functions import typed
 from siftwright.operators import classify, constraints, generate, infer, reports, retention
 from siftwright.sources import checked_csv, filename
 from siftwright.streaming import ingest
+from siftwright.shared import shared_root
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -89,7 +88,9 @@ def latest_single(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("SELECT count(DISTINCT event_type) AS n_types FROM events WHERE event_type IN ('click', 'view', 'error') AND CAST(ts AS DATE) = DATE '2024-01-02'")
 def readiness_count_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = _table(spark, sf_dir, "events").filter(F.col("event_type").isin("click", "view", "error") & (F.to_date("ts") == F.lit(date(2024, 1, 2))))
+    events = _table(spark, sf_dir, "events")
+    kind = events.schema["ts"].dataType  # a half-open range of the column itself reaches the scan
+    day = events.filter(F.col("event_type").isin("click", "view", "error") & (F.col("ts") >= F.lit("2024-01-02").cast(kind)) & (F.col("ts") < F.lit("2024-01-03").cast(kind)))
     return day.agg(F.count_distinct("event_type").alias("n_types"))
 
 
@@ -383,9 +384,7 @@ def generated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _written(spark: SparkSession, rows: DataFrame, compression: str) -> list[str]:
     """CSV files of the rows in the folder that all machines share, without an ending that would tell their compression."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
-    named = named if "://" in named else f"file://{os.path.abspath(named.removeprefix('file:'))}"
-    out = f"{named.rstrip('/')}/siftwright/csv-{uuid.uuid4().hex}"
+    out = f"{shared_root(spark).rstrip('/')}/siftwright/csv-{uuid.uuid4().hex}"
     rows.write.option("header", True).option("compression", compression).option("emptyValue", "").option("escape", '"').csv(out)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = path(out).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -78,6 +78,94 @@ def test_stale_claim_is_taken_over(spark, store, tmp_path):
     assert process(spark, str(p), ORDERS, store, wait_seconds=0.1).status == Status.SUCCESS
 
 
+def test_two_loaders_of_one_content(spark, store, tmp_path, monkeypatch):
+    from concurrent.futures import ThreadPoolExecutor
+    from contextlib import nullcontext
+
+    p = tmp_path / "orders_1.csv"
+    p.write_text(HEAD + "".join(f"{k},C1,1.00\n" for k in range(200)))
+    monkeypatch.setattr(Store, "renewing", lambda *_: nullcontext())  # so the claim goes stale while its holder is at work
+    with ThreadPoolExecutor(3) as pool:
+        ends = [*pool.map(lambda _: process(spark, str(p), ORDERS, store, wait_seconds=0.05), range(3))]
+    assert {(r.status, r.total_rows, r.valid_rows) for r in ends} == {(Status.SUCCESS, 200, 200)}
+    assert store.table(ORDERS).count() == 200 and store.ledger().filter("dataset = 'orders'").count() == 1
+    assert len({r.id for r in store.ledger().collect()}) == 2
+
+
+def test_a_renewed_claim_is_not_taken_over(store):
+    import time
+
+    assert store.claim("orders", "x")
+    with store.renewing("orders", "x", 0.1):
+        time.sleep(1)
+        assert not store.claim("orders", "x", 0.7)
+    time.sleep(1)
+    assert store.claim("orders", "x", 0.7)
+
+
+def test_one_entry_for_a_content(store):
+    from dataclasses import replace
+    from datetime import timezone
+
+    from siftwright.operators.engine import Result
+
+    r = Result(Status.SUCCESS, "orders", "a.csv", "c" * 64, 1, 1, 0)
+    at = datetime(2026, 1, 1, 12, tzinfo=timezone.utc)
+    assert store.record(r, at, "first") and not store.record(replace(r, file_name="b.csv"), at, "second")
+    assert [(x.file_name, x.processed_at.astimezone(timezone.utc)) for x in store.ledger().filter("dataset = 'orders'").collect()] == [("a.csv", at)]
+
+
+def test_paths_of_streams():
+    assert ingest.path_of("file:///a/b%20c.csv") == "/a/b c.csv" and ingest.path_of("/a/b.csv") == "/a/b.csv"
+    for uri in ("s3a://bucket/k.csv", "hdfs://nn/a/b.csv"):
+        assert ingest.path_of(uri) == uri
+
+
+def test_stream_tries_again(spark, store, tmp_path, monkeypatch):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    sink.write_csv([["1", "C1", "1.00"]], ORDERS, str(folder / "orders_20260101.csv"))
+    broken = [2]
+
+    def flaky(*args):
+        broken[0] -= 1
+        return process(*args) if broken[0] < 0 else ingest.Result(Status.PROCESSING_ERROR, "orders", "x")
+
+    monkeypatch.setattr(ingest, "process", flaky)
+    run = lambda n: ingest.stream(spark, str(folder), ORDERS, store, str(tmp_path / "ck"), retries=n, sleep=lambda s: None).awaitTermination(120)
+    with pytest.raises(Exception, match="could not be loaded"):
+        run(0)
+    assert store.table(ORDERS).count() == 0
+    run(1)  # delivered again: fails once more, then loads
+    assert store.table(ORDERS).count() == 1 and broken[0] == -1
+
+
+def test_cascade_branches_and_schedule(spark, store, tmp_path):
+    bad = lambda: process(spark, str(tmp_path), DatasetContract("orders", "*", ()), store)
+    ran = ingest.cascade([("load", bad), ("next", lambda: 1), ("report", lambda: 2)], report="report")
+    assert list(ran) == ["load", "report"] and ran["load"].status == Status.CONFIGURATION_ERROR
+    now = [100.0]
+
+    def step():
+        now[0] += 200
+
+    with pytest.raises(TimeoutError):
+        ingest.cascade([("a", step), ("b", step), ("c", step)], timeout=240, clock=lambda: now[0])
+    now, due = [1000.0], []
+
+    def run(t):
+        due.append(t)
+        now[0] += 700 if len(due) == 2 else 10
+        if len(due) == 1:
+            raise ValueError("ends this run only")
+
+    def sleep(s):
+        now[0] += s
+
+    ended = ingest.every(300, run, 4, sleep=sleep, clock=lambda: now[0])
+    assert due == [1200, 1500, 2400, 2700] and isinstance(ended[0], ValueError)
+
+
 def test_stream_loads_each_content_once(spark, store, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
