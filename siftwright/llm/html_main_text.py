@@ -1,7 +1,7 @@
 """HTML extraction: the article's text, separated from boilerplate by a minimum cut.
 
-A page is cut into blocks: runs of text between the tags of block elements. Scripts, styles, markup, form controls and embedded objects hold no
-blocks. A small classifier gives each block a cost of being called boilerplate and one of being called content, from its elements,
+A page is cut into blocks: runs of text between the tags of block elements. Scripts, styles, form fields and embedded media hold no blocks; what a formula
+says, what stands in for an embedded object and the words on a button are text. A small classifier gives each block a cost of being called boilerplate and one of being called content, from its elements,
 their class, id and role, its length and the share of its links. The costs are the capacities from the source and to the sink;
 neighbours are joined by smoothness edges, stronger the closer they stand in the document tree, and so are consecutive blocks of one parent.
 The minimum cut, found by maximum flow, is the labelling of least cost; the blocks on the source's side are the main text.
@@ -26,7 +26,9 @@ from pyspark.sql import DataFrame
 from siftwright.llm.common import map_batches, texts_of
 
 # Elements of HTML by kind.
-_RAW = "script style noscript template textarea title iframe svg math select option button object canvas audio video map"
+_RAW = "script style noscript template textarea title iframe"  # up to their end tag, whatever stands between
+_SILENT = set("svg select datalist audio video canvas".split())  # what is inside isn't text of the page
+_ENDED_BY_BLOCKS = set("svg select datalist".split())  # those that no block can stand in
 _BLOCKS = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
@@ -51,6 +53,10 @@ _BAD_NAMES = set(
     "copyright skip hidden toc complementary contentinfo dialog form masthead topbar".split()
 )
 _GOOD_NAMES = set("article content main post entry story body text".split())
+# Of the words above, those that tell wherever they stand in a name, and those that are words of articles too: inside one they are a hint only.
+_STRONG_NAMES = set("comment comments commentlist disqus cookie cookies consent gdpr newsletter advert advertisement advertising adsense sponsored navbar breadcrumb breadcrumbs sidebar popup".split())
+_WEAK_NAMES = set("discussion related social".split())
+_PARTS = re.compile(r"[^\s_-]+")
 _BAD_TAGS = {"nav": 9, "footer": 9, "aside": 9, "form": 9, "menu": 9, "dialog": 9, "label": 4, "legend": 4, "fieldset": 6, "head": 9, "search": 9}
 
 _TOKEN = re.compile(
@@ -71,6 +77,8 @@ class Costs:
     in_main: int = 300
     good_name: int = 150
     bad_name: int = 800
+    bad_hint: int = 250
+    hidden: int = 1200
     heading: int = 100
     paragraph: int = 100
     list_item: int = -50
@@ -99,16 +107,22 @@ class Block:
     label: bool = field(default=False, compare=False)
 
 
-def _names(attributes: str) -> tuple[set[str], bool]:
-    names: set[str] = set()
+def _names(attributes: str) -> tuple[set[str], set[str], bool]:
+    """What names the element as a whole (a class, id or role that is one word, or its last word: ``site-nav``), other words of its names, and whether it is hidden."""
+    whole: set[str] = set()
+    words: set[str] = set()
     hidden = False
     for m in _ATTRIBUTE.finditer(attributes):
         kind, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if kind in ("class", "id", "role"):
-            names.update(n.lower() for n in (*re.findall("[A-Za-z]+", value), *_NAME.findall(value)))
+            for name in value.split():
+                found = [n.lower() for part in _PARTS.findall(name) for n in (part, *_NAME.findall(part)) if n.isascii()]
+                last = (_PARTS.findall(name) or [""])[-1]
+                whole.update((name.lower(), last.lower(), *(n.lower() for n in _NAME.findall(last)[-1:])))
+                words.update(found)
         elif kind == "hidden" or kind == "aria-hidden" and value.lower() == "true" or kind == "style" and re.search(r"display\s*:\s*none", value, re.I):
             hidden = True
-    return names, hidden
+    return whole, words - whole, hidden
 
 
 def _open(tag: str, attributes: str, parent: _Element, costs: Costs) -> _Element:
@@ -122,10 +136,15 @@ def _open(tag: str, attributes: str, parent: _Element, costs: Costs) -> _Element
     else:
         e.bad = max(e.bad, 100 * _BAD_TAGS.get(tag, 0))
     if attributes and tag not in ("html", "body", "main"):
-        names, hidden = _names(attributes)
-        if hidden or tag != "article" and names & _BAD_NAMES or not e.main and names & {"header"}:
+        whole, words, hidden = _names(attributes)
+        bad = (whole & _BAD_NAMES) - (_WEAK_NAMES if e.main else set()) | words & _STRONG_NAMES | (whole | words if not e.main else set()) & _BAD_NAMES
+        if hidden:
+            e.bad = max(e.bad, costs.hidden)
+        elif tag != "article" and bad or not e.main and "header" in whole | words:
             e.bad = max(e.bad, costs.bad_name)
-        elif names & _GOOD_NAMES:
+        elif tag != "article" and (whole | words) & _BAD_NAMES:  # a hint that words can outvote
+            e.bad = max(e.bad, costs.bad_hint)
+        elif (whole | words) & _GOOD_NAMES:
             e.good = max(e.good, costs.good_name)
     if tag in _BOUNDS:
         e.bound = e
@@ -138,41 +157,70 @@ def blocks(page: str | None, costs: Costs = Costs()) -> list[Block]:
     root.bound = root
     out: list[Block] = []
     run: list[str] = []
-    linked = 0
-    in_link = False
+    linked = pressed = 0  # characters of the run that links hold, and those on buttons
+    in_link = in_button = in_option = False
+    silent: list[str] = []  # open elements whose inside isn't text
+
+    last_end: dict[str, int] = {}
+
+    def ends(tag: str) -> int:
+        """Where the last end tag of this kind stands, or -1."""
+        if tag not in last_end:
+            last_end[tag] = max((x.start() for x in re.finditer(rf"</{tag}\b", page, re.I)), default=-1)
+        return last_end[tag]
 
     def end() -> None:
-        nonlocal linked
+        nonlocal linked, pressed
         if run:
             text = "".join(run)
             run.clear()
+            if pressed and len(text.strip()) <= pressed:  # nothing but buttons
+                text = ""
             if "&" in text:
                 text = html.unescape(text)
             text = " ".join(text.split())
             if text:
                 out.append(Block(text, here, linked))
-        linked = 0
+        linked = pressed = 0
 
     at = 0
     for m in _TOKEN.finditer(page):
         if m.start() > at:
             piece = page[at : m.start()]
-            run.append(piece)
-            if in_link:
-                linked += len(piece)
+            if not silent and not in_option:
+                run.append(piece)
+                if in_link:
+                    linked += len(piece)
+                if in_button:
+                    pressed += len(piece)
         at = m.end()
         tag = m[3]
         if tag is None:
             continue
         tag = tag.lower()
+        in_option = tag in ("option", "optgroup") and not m[2]  # ends with the next tag of any kind
+        if tag in _SILENT:
+            if m[2]:
+                if tag in silent:
+                    del silent[silent.index(tag) :]
+            elif not m[4].rstrip().endswith("/") and ends(tag) > at:  # one without an end holds nothing
+                silent.append(tag)
+            run.append(" ")
+            continue
+        if silent and tag in _BLOCKS:
+            silent = [t for t in silent if t not in _ENDED_BY_BLOCKS]
+        if silent:
+            continue
         if tag not in _BLOCKS:
             if tag == "a":
                 in_link = not m[2]
+            elif tag == "button":
+                in_button = not m[2]
             elif tag == "br":
                 run.append(" ")
             continue
         end()
-        in_link = False
+        in_link = in_button = False
         if m[2]:
             e = here
             while e is not root and e.tag != tag:
@@ -184,7 +232,7 @@ def blocks(page: str | None, costs: Costs = Costs()) -> list[Block]:
             here = here.parent
         if tag not in _VOID:
             here = _open(tag, m[4], here, costs)
-    if at < len(page):
+    if at < len(page) and not silent and not in_option:
         run.append(page[at:])
     end()
     return out

@@ -346,10 +346,52 @@ def test_main_text():
 
 
 def test_attributes():
-    names, hidden = html_main_text._names(' data-id="menu" aria-label="hidden menu" class="story"')
-    assert names == {"story"} and not hidden
-    assert html_main_text._names(" CLASS=sideBar hidden") == ({"sidebar", "side", "bar"}, True)
-    assert html_main_text._names("style='color:red; display : none'") == (set(), True)
+    whole, words, hidden = html_main_text._names(' data-id="menu" aria-label="hidden menu" class="story"')
+    assert whole == {"story"} and not words and not hidden
+    whole, words, hidden = html_main_text._names(" CLASS=sideBar hidden")
+    assert "sidebar" in whole and hidden
+    whole, words, hidden = html_main_text._names(' class="site-nav related-work"')
+    assert {"nav", "work", "site-nav"} <= whole and "related" in words - whole
+    assert html_main_text._names("style='color:red; display : none'") == (set(), set(), True)
+
+
+REST = "<p>The rest of the page, which has a good many words of its own.</p>"
+AFTER = "The rest of the page, which has a good many words of its own."
+
+
+@pytest.mark.parametrize(
+    "inside, want",
+    [
+        ('<svg class="i"/>', None),
+        ("<svg><path d=x><text>Label</text></svg>", None),
+        ("<svg><path d=x>", None),
+        ('<datalist><option value="a"><option value="b"></datalist>', None),
+        ("<select><option>One<option>Two</select>", None),
+        ("<select><option>One", None),
+        ("<video><p>Your browser shows no videos at all.</p></video>", None),
+        ("<button>Share</button>", None),
+        ("<p>Press <button>Start</button> to begin the measurement of all values.</p>", "Press Start to begin the measurement of all values."),
+        ("<p>The sum <math><mi>a</mi><mo>+</mo><mi>b</mi></math> is a number that we need below.</p>", "The sum a+b is a number that we need below."),
+        ('<object data="x"><p>The picture shows a river with two bridges over it.</p></object>', "The picture shows a river with two bridges over it."),
+        ('<p class="social-history">He never smoked and lives with two sisters in a small town.</p>', "He never smoked and lives with two sisters in a small town."),
+        ('<section class="related-work"><p>Others have measured this before us, with other tools.</p></section>', "Others have measured this before us, with other tools."),
+        ('<section class="discussion"><p>Our results agree with those of others who looked at it.</p></section>', "Our results agree with those of others who looked at it."),
+        ('<div class="comment-body"><p>I liked this article a lot and want to say so here.</p></div>', None),
+        ('<div class="related"><a href=a>Another story</a> <a href=b>One more story to read</a></div>', None),
+    ],
+)
+def test_what_stays_of_an_article(inside, want):
+    first = "<p>First paragraph of the article with a good number of words in it.</p>"
+    page = f"<html><body><nav><a href=x>Home</a></nav><article><h1>Title of it</h1>{first}{inside}{REST}</article><footer>Copyright of all</footer></body></html>"
+    assert html_main_text.main_text(page).split("\n")[2:] == ([want] if want else []) + [AFTER]
+
+
+def test_pages_without_an_article():
+    body = "".join(f"<p>Paragraph {k} tells some more of the story with a fair number of plain words, and then it ends.</p>" for k in range(4))
+    for open_, close in (("<div class=post-content>", "</div>"), ("<div>", "</div>"), ("<main>", "</main>"), ("<td>", "</td>")):
+        page = f"<body><div class=site-nav><a href=a>Home</a> <a href=b>News of today</a></div>{open_}<h2>Heading of the story</h2>{body}{close}<div id=sidebar><p>Other things that we sell here to everyone who reads this.</p></div><div class=page-footer>Copyright of us</div></body>"
+        got = html_main_text.main_text(page).split("\n")
+        assert got[-4:] == [f"Paragraph {k} tells some more of the story with a fair number of plain words, and then it ends." for k in range(4)] and len(got) <= 5, (open_, got)
 
 
 def test_html_query(spark):
