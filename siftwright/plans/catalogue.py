@@ -77,7 +77,8 @@ def report_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("SELECT event_type, event_id, ts FROM events e WHERE ts = (SELECT max(ts) FROM events x WHERE x.event_type = e.event_type)")
 def latest_per_group_correlated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.latest_all_ties(_table(spark, sf_dir, "events").select("event_type", "event_id", "ts"), "event_type", "ts").select("event_type", "event_id", "ts")
+    latest = reports.latest_all_ties(_table(spark, sf_dir, "events").select("event_type", "event_id", "ts"), "event_type", "ts").select("event_type", "event_id", "ts")
+    return latest.orderBy("event_type", "event_id")
 
 
 @_query("SELECT event_id, event_type, ts FROM events WHERE event_type = 'click' ORDER BY ts DESC, event_id DESC LIMIT 1")
@@ -97,7 +98,7 @@ def readiness_count_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("SELECT bucket, event_id, rn FROM (SELECT time_bucket(INTERVAL 5 minutes, ts) AS bucket, event_id, row_number() OVER (PARTITION BY time_bucket(INTERVAL 5 minutes, ts) ORDER BY event_id) AS rn FROM events) WHERE rn <= 3")
 def top3_per_5min_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "events").select(reports.bucket(F.col("ts")).alias("bucket"), "event_id")
-    return reports.first_of_group(rows, 3, "bucket", "event_id").withColumn("rn", F.col("rn").cast("long"))
+    return reports.first_of_group(rows, 3, "bucket", "event_id").withColumn("rn", F.col("rn").cast("long")).orderBy("bucket", "rn")
 
 
 @_query("SELECT strftime(time_bucket(INTERVAL 5 minutes, ts), '%Y-%m-%d %H:%M') AS label, minute(time_bucket(INTERVAL 5 minutes, ts)) AS at_minute, count(*) AS n_rows FROM events GROUP BY 1, 2")

@@ -297,3 +297,20 @@ def test_contracts(tmp_path):
     for args in (("../d.json", "d"), ("/etc/passwd", "d"), ("d.json", "e")):
         with pytest.raises(ContractError):
             contract_path(tmp_path, *args, {"d"})
+
+
+def test_summary(spark, store):
+    from datetime import timezone
+    from decimal import Decimal
+
+    from siftwright.operators import summary
+
+    at = datetime(2026, 1, 2, 3, tzinfo=timezone.utc)
+    report = spark.createDataFrame([("A|B", date(2026, 1, 1), 3, Decimal("1.50"), Decimal("0.50")), (None, None, 1, None, None)], "region string, order_month date, order_count long, total_amount decimal(9,2), avg_amount decimal(9,2)")
+    body = summary.render(store.ledger(), report, at)
+    assert "| Region | Order Month | Order Count | Total Amount | Avg Amount |\n|---|---|---|---|---|\n| A\\|B | 2026-01 | 3 | 1.50 | 0.50 |\n| None | None | 1 | None | None |" in body
+    assert "| customers | customers_20260101.csv | 2 | 2 | 0 | SUCCESS | " in body and "`2026-01-02T03:00:00+00:00`" in body
+    once = summary.splice("# Mine\n", body)
+    assert once.startswith(summary.START) and once.endswith("# Mine\n") and summary.splice(once, body) == once
+    assert summary.splice(f"a\n{summary.START}old{summary.END}\nb", "new") == f"a\n{summary.START}\n\nnew\n{summary.END}\nb"
+    assert "_(no rows yet: load both datasets first)_" in summary.render(store.ledger(), report.limit(0), at)
