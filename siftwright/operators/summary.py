@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# The lines between which a text holds the summary.
+# The lines between which a text holds the summary, and the titles of its tables.
 START, END = "<!-- EXEC-SUMMARY:START -->", "<!-- EXEC-SUMMARY:END -->"
 LOAD_TITLES = {"dataset": "Dataset", "file_name": "File Name", "total_rows": "Total Rows", "valid_rows": "Valid Rows", "invalid_rows": "Invalid Rows", "status": "Status", "processed_at": "Processed At (UTC)"}
 REPORT_TITLES = {"region": "Region", "order_month": "Order Month", "order_count": "Order Count", "total_amount": "Total Amount", "avg_amount": "Avg Amount"}
