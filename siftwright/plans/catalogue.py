@@ -5,20 +5,18 @@ Each query runs the operator's own code; its SQL says independently what must co
 
 from __future__ import annotations
 
-import atexit
-import uuid
 from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwright.contract import ColumnContract, DatasetContract
+from siftwright.contract import ColumnContract, DatasetContract, Dialect
 from siftwright.functions import typed
 from siftwright.operators import classify, constraints, generate, infer, reports, retention
 from siftwright.sources import checked_csv, filename
+from siftwright.shared import new_path
 from siftwright.streaming import ingest
-from siftwright.shared import shared_root
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -364,47 +362,70 @@ def seed_from_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").select("event_id", generate.seed_of(F.col("ts")).alias("seed"))
 
 
-@_query()
+@_query("""
+    WITH ranked AS (SELECT c_name, row_number() OVER (ORDER BY c_name) AS r FROM customer),
+    bounds AS (SELECT c_name, sum(1.0::DOUBLE / r) OVER (ORDER BY r) AS hi FROM ranked),
+    draws AS (SELECT o_orderkey, ('0x' || substr(md5('7|drawn|' || o_orderkey), 1, 10))::BIGINT / 1099511627776.0::DOUBLE * (SELECT max(hi) FROM bounds) AS target FROM orders)
+    SELECT o_orderkey, c_name AS drawn FROM draws ASOF JOIN bounds ON target < hi""")
 def zipf_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A customer for each order, drawn by rank; tests hold the frequencies against 1/rank."""
     pool = _table(spark, sf_dir, "customer").select("c_name")
     return generate.zipf(_table(spark, sf_dir, "orders").select("o_orderkey"), pool, "o_orderkey", 7, "drawn")
 
 
-@_query()
+def _drawn_sql(part: str, digits: int = 15) -> str:
+    return f"('0x' || substr(md5('42|{part}|' || n), 1, {digits}))::BIGINT"
+
+
+@_query(f"""
+    WITH numbers AS (SELECT row_number() OVER () AS n FROM orders),
+    made AS (
+        SELECT n, 'ORD-' || substr(sha256('42'), 1, 8) || '-' || lpad(CAST(n AS VARCHAR), 6, '0') AS id,
+               strftime(make_timestamp((1577836800 + {_drawn_sql("order_date")} % 189216000) * 1000000), '%Y-%m-%d') AS day,
+               {_drawn_sql("amount")} % 1000000000 AS units,
+               CASE WHEN {_drawn_sql("broken", 10)} / 1099511627776.0::DOUBLE < 0.1 THEN (['short', 'empty', 'type', 'long'])[{_drawn_sql("how")} % 4 + 1] END AS broken
+        FROM numbers),
+    texts AS (SELECT *, (units // 100) || '.' || lpad(CAST(units % 100 AS VARCHAR), 2, '0') AS amount FROM made)
+    SELECT n AS row_number, broken,
+           CASE WHEN broken IN ('short', 'long') THEN 'WRONG_COLUMN_COUNT' WHEN broken = 'empty' THEN 'NULL_VIOLATION' WHEN broken = 'type' THEN 'INVALID_DATE_FORMAT' END AS error_code,
+           CASE WHEN broken = 'short' THEN id || ',' || id || ',' || day WHEN broken = 'empty' THEN ',' || id || ',' || day || ',' || amount
+                WHEN broken = 'type' THEN id || ',' || id || ',not-a-value,' || amount WHEN broken = 'long' THEN id || ',' || id || ',' || day || ',' || amount || ',surplus'
+                ELSE id || ',' || id || ',' || day || ',' || amount END AS line
+    FROM texts""")
 def generated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Synthetic orders, a tenth of them broken, as the generator and the classifier see them."""
+    """Synthetic orders, a tenth of them broken, as the generator writes and the classifier sees them."""
     n = _table(spark, sf_dir, "orders").count()
     made = generate.rows(spark, ORDERS, n, 42, 0.1)
+    lines = generate.csv_lines(made, ORDERS).withColumnRenamed("number", "row_number")
     records = made.select(F.lit("made.csv").alias("source_file"), F.col("number").alias("row_number"), "fields", F.lit("").alias("raw_line"), "broken")
-    return classify.classify(records, ORDERS, ORDERS.names).select("row_number", "fields", "broken", "error_code")
+    return classify.classify(records, ORDERS, ORDERS.names).select("row_number", "broken", "error_code").join(lines, "row_number").withColumnRenamed("value", "line")
 
 
 # The scan: files written by Spark's own sink, read through the checked source
 
 
-def _written(spark: SparkSession, rows: DataFrame, compression: str) -> list[str]:
-    """CSV files of the rows in the folder that all machines share, without an ending that would tell their compression."""
-    out = f"{shared_root(spark).rstrip('/')}/siftwright/csv-{uuid.uuid4().hex}"
-    rows.write.option("header", True).option("compression", compression).option("emptyValue", "").option("escape", '"').csv(out)
+def _bare(spark: SparkSession, folder: str) -> list[str]:
+    """The files below a folder that Spark wrote, renamed so that no ending tells what they are; the folder of a partition gives its name."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = path(out).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     paths = []
-    for status in fs.listStatus(path(out)):
-        name = status.getPath().getName()
-        if name.startswith("part-") and status.getLen():
-            bare = name.split(".csv")[0]
-            fs.rename(path(f"{out}/{name}"), path(f"{out}/{bare}"))
-            paths.append(f"{out}/{bare}")
-    atexit.register(_deleted, fs, path(out))
+    found = fs.listFiles(path(folder), True)
+    while found.hasNext():
+        status = found.next()
+        file = status.getPath()
+        if file.getName().startswith("part-") and status.getLen():
+            parent = file.getParent().getName()
+            name = parent.split("=")[1] if "=" in parent else file.getName().split(".")[0]
+            fs.rename(file, path(f"{folder}/{name}"))
+            paths.append(f"{folder}/{name}")
     return sorted(paths)
 
 
-def _deleted(fs, path) -> None:
-    try:
-        fs.delete(path, True)
-    except Exception:  # the session may be over
-        pass
+def _written(spark: SparkSession, rows: DataFrame, compression: str) -> list[str]:
+    """CSV files of the rows in the folder that all machines share, without an ending that would tell their compression."""
+    out = new_path(spark, "csv")
+    rows.write.option("header", True).option("compression", compression).option("emptyValue", "").option("escape", '"').csv(out)
+    return _bare(spark, out)
 
 
 def _order_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -433,3 +454,46 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_gzip_magic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gzip files whose names don't say so."""
     return _scanned(spark, sf_dir, "gzip")
+
+
+_YEARS_SQL = """
+    WITH rows AS (
+        SELECT year(o_orderdate) AS y, o_orderkey, row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey) AS place, strftime(o_orderdate, '%Y-%m-%d') AS day,
+               (CAST(round(o_totalprice * 100) AS BIGINT) // 100) || '.' || lpad(CAST(CAST(round(o_totalprice * 100) AS BIGINT) % 100 AS VARCHAR), 2, '0') AS amount, o_custkey, o_orderkey % 5 = 0 AS cut
+        FROM orders)
+    SELECT 'orders_' || y AS source_file, place AS row_number, CAST(o_orderkey AS VARCHAR) AS order_id, CASE WHEN cut THEN 'c' || chr(10) || o_custkey ELSE CAST(o_custkey AS VARCHAR) END AS customer_id,
+           CASE WHEN cut THEN o_custkey || '",' || day || ',' || amount ELSE o_orderkey || ',' || o_custkey || ',' || day || ',' || amount END || chr(10) AS raw_line
+    FROM rows"""
+
+
+@_query(_YEARS_SQL)
+def scan_preamble_repeated_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file a year, each with a title above the header, the header once more below the first row, and fields that hold a line feed: numbers of rows and their last lines."""
+    k, year = F.col("o_orderkey"), F.year("o_orderdate")
+    cents = reports.cents(F.col("o_totalprice"))
+    amount = F.concat(F.call_function("div", cents, F.lit(100)).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+    customer = F.when(k % 5 == 0, F.concat(F.lit('"c\n'), F.col("o_custkey"), F.lit('"'))).otherwise(F.col("o_custkey").cast("string"))
+    header = ",".join(ORDERS.names)
+    data = _table(spark, sf_dir, "orders").select(F.concat(F.lit("orders_"), year).alias("file"), k.cast("long").alias("at"), F.concat_ws(",", k, customer, F.date_format("o_orderdate", "yyyy-MM-dd"), amount).alias("value"))
+    first = data.groupBy("file").agg(F.min("at").alias("least"))
+    around = first.select("file", F.inline(F.array(*(F.struct(at.cast("double").alias("at"), F.lit(v).alias("value")) for at, v in ((F.lit(-2), "Orders of a year"), (F.lit(-1), header), (F.col("least") + 0.5, header))))))
+    out = new_path(spark, "csv")
+    data.withColumn("at", F.col("at").cast("double")).unionByName(around).repartition("file").sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").text(out)
+    records, _ = checked_csv.scan(spark, _bare(spark, out), ORDERS)
+    return records.select("source_file", "row_number", F.get("fields", F.lit(0)).alias("order_id"), F.get("fields", F.lit(1)).alias("customer_id"), "raw_line")
+
+
+_NATIONS = DatasetContract("nations", "nations*", (ColumnContract("n_nationkey", "integer", nullable=False), ColumnContract("n_name"), ColumnContract("n_regionkey", "integer")), csv=Dialect(delimiter=";", has_footer=True))
+
+
+@_query("SELECT row_number() OVER (ORDER BY n_nationkey) AS row_number, CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey FROM nation")
+def scan_mark_and_footer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file that begins with a byte order mark, is cut by semicolons and ends in two lines that are no data."""
+    rows = _table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("at"), F.concat_ws(";", "n_nationkey", "n_name", "n_regionkey").alias("value"))
+    last = rows.agg(F.count("*").alias("n")).select(F.inline(F.array(F.struct(F.lit((1 << 62)).alias("at"), F.lit("checked by nobody").alias("value")), F.struct(F.lit((1 << 62) + 1).alias("at"), F.concat(F.lit("rows;"), "n").alias("value")))))
+    head = spark.createDataFrame([(-1, "\ufeff" + ";".join(_NATIONS.names))], "at long, value string")
+    out = new_path(spark, "csv")
+    rows.unionByName(last).unionByName(head).repartition(1).sortWithinPartitions("at").select("value").write.text(out)  # one file, as its footer says
+    records, header = checked_csv.scan(spark, _bare(spark, out), _NATIONS)
+    good = classify.valid_rows(classify.classify(records, _NATIONS, header), _NATIONS, header, "row_number")
+    return good.select("row_number", F.col("n_nationkey").cast("long").alias("n_nationkey"), "n_name", F.col("n_regionkey").cast("long").alias("n_regionkey"))

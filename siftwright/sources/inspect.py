@@ -1,4 +1,4 @@
-"""File inspection on the driver, before a plan is built: compression, encoding, dialect, header, footer.
+"""File inspection, before a scan is built: compression, encoding, dialect, header, footer.
 
 Only a bounded head of the file is looked at. The result is what the scan needs; a file that doesn't fit its contract is refused here.
 """
@@ -20,7 +20,7 @@ from typing import BinaryIO
 from charset_normalizer import from_bytes
 
 from siftwright import errors
-from siftwright.contract import DatasetContract
+from siftwright.contract import DatasetContract, Dialect
 from siftwright.errors import InspectionError, StructureError
 
 # Bounds of reading.
@@ -174,6 +174,28 @@ def detect_delimiter(text: str) -> str | None:
     return best[2] if best else None
 
 
+def detect_quote(text: str, delimiter: str) -> str:
+    """The sign that encloses more whole fields; the usual one where neither encloses any."""
+    edge = re.escape(delimiter)
+    enclosed = {q: len(re.findall(rf"(?:^|{edge}){q}(?:[^{q}]|{q}{q})*{q}(?={edge}|\r?$)", text, re.MULTILINE)) for q in ('"', "'")}
+    return max(enclosed, key=enclosed.__getitem__)
+
+
+def detect_dialect(text: str, declared_delimiter: str | None = None) -> Dialect | None:
+    """Delimiter and quotation mark of a sample; None where no delimiter shows. A declared delimiter decides without a look at the sample."""
+    if declared_delimiter is not None:
+        return Dialect(delimiter=declared_delimiter)
+    delimiter = detect_delimiter(text)
+    return Dialect(delimiter=delimiter, quotechar=detect_quote(text, delimiter)) if delimiter else None
+
+
+def reader_options(dialect: Dialect | None) -> dict[str, object]:
+    """A dialect as the record reader takes it. One that was not found, and not declared either, is an error."""
+    if dialect is None:
+        raise InspectionError("no delimiter could be detected and none is declared", "dialect-detection-declined")
+    return {"delimiter": dialect.delimiter, "quotechar": dialect.quotechar, "doublequote": dialect.doublequote, "escapechar": dialect.escapechar}
+
+
 def looks_numeric(value: str) -> bool:
     try:
         float(value)
@@ -253,9 +275,8 @@ class Plan:
 
 
 def records(text: Iterable[str], contract: DatasetContract) -> Iterator[list[str]]:
-    d = contract.csv
     csv.field_size_limit(MAX_FIELD_CHARS)
-    return csv.reader(text, delimiter=d.delimiter, quotechar=d.quotechar, doublequote=d.doublequote, escapechar=d.escapechar)
+    return csv.reader(text, **reader_options(contract.csv))
 
 
 def inspect(path: str, contract: DatasetContract, ceiling: int = MAX_DECOMPRESSED_BYTES) -> Plan:

@@ -1,5 +1,6 @@
 """Inspection and scan of files."""
 
+import csv
 import gzip
 import zipfile
 
@@ -155,3 +156,31 @@ def test_many_files_are_one_scan(spark, tmp_path):
         assert [r.fields[0] for r in one.collect()] == ["A3"] and one.rdd.getNumPartitions() == 1
     finally:
         spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+
+
+def test_dialect_of_a_sample():
+    one = inspect.detect_dialect("a;b\n'x;1';2\n'it''s';3\n")
+    assert (one.delimiter, one.quotechar) == (";", "'")
+    assert list(csv.reader(["'x;1';2"], **inspect.reader_options(one))) == [["x;1", "2"]]
+    two = inspect.detect_dialect('a,b\n"x,1",it\'s\n')
+    assert (two.delimiter, two.quotechar) == (",", '"')
+    assert inspect.detect_dialect("whatever", "|").delimiter == "|"
+    assert inspect.detect_dialect("single\ncolumn\n") is None
+    with pytest.raises(InspectionError) as e:
+        inspect.reader_options(None)
+    assert e.value.code == "dialect-detection-declined"
+
+
+def test_many_files_are_inspected_in_tasks(spark, tmp_path):
+    paths = [str(tmp_path / f"f{k}") for k in range(5)]
+    for k, p in enumerate(paths):
+        open(p, "w").write(f"id,name\nA{k},x\nB{k},y\n")
+    records, header = checked_csv.scan(spark, paths, PAIR)
+    assert header == ["id", "name"] and sorted(r.fields[0] for r in records.collect()) == sorted(f"{c}{k}" for c in "AB" for k in range(5))
+    open(paths[3], "w").write("id;name\nA;x\nB;y\n")
+    with pytest.raises(StructureError) as e:
+        checked_csv.scan(spark, paths, PAIR)
+    assert e.value.code == "DETECT_DIALECT_MISMATCH"
+    open(paths[3], "w").write("name,id\nx,A\ny,B\n")
+    with pytest.raises(InspectionError):
+        checked_csv.scan(spark, paths, PAIR)
