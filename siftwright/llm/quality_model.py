@@ -5,7 +5,8 @@ is made of, each run once (``The`` Aa, ``THE!!`` A!!, ``the%%%`` a%%%, ``|`` |),
 vector of its features' counts, scaled to length 1 in each of the two families, and its score the logistic function of the dot product with the weights.
 
 Training: per-coordinate FTRL-proximal updates, text by text in an order that a hash of the id gives, over a bounded sample:
-``Fit.texts`` labelled texts, those with the least hash of id. It runs in one task and returns the weights that are not zero.
+``Fit.texts`` labelled texts, those with the least hash of id. It runs in one task, through which the texts stream once for each round, so it holds the state of
+the updates and one Arrow batch, which Spark bounds in rows and bytes. It returns the weights that are not zero.
 
 Defined results: a null text scores as the empty one, which scores by the bias alone; with no labelled text all scores are 0.5; null
 labels are left out; an id that carries several labels or rows is learned from as often as it pairs; rows are scored one by one, so repeated rows repeat
@@ -20,7 +21,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -104,21 +104,37 @@ def logistic(x: float) -> float:
     return float(1 / (1 + np.exp(-min(35.0, max(-35.0, x)))))
 
 
+class Ftrl:
+    """The state of FTRL-proximal updates."""
+
+    def __init__(self, how: Fit):
+        self.how, self.z, self.n, self.hasher = how, np.zeros(1 << how.bits), np.zeros(1 << how.bits), Hasher(how.bits)
+
+    def _weights(self, z: np.ndarray, n: np.ndarray) -> np.ndarray:
+        how = self.how
+        return np.where(np.abs(z) <= how.l1, 0, -(z - np.sign(z) * how.l1) / ((how.beta + np.sqrt(n)) / how.alpha + how.l2))
+
+    def update(self, text: str | None, label: int) -> None:
+        i, x = self.hasher.vector(text)
+        ni = self.n[i]
+        w = self._weights(self.z[i], ni)
+        g = (logistic(float(w @ x)) - label) * x
+        sigma = (np.sqrt(ni + g * g) - np.sqrt(ni)) / self.how.alpha
+        # a place may stand twice, once for each family
+        np.add.at(self.z, i, g - sigma * w)
+        np.add.at(self.n, i, g * g)
+
+    def weights(self) -> np.ndarray:
+        return self._weights(self.z, self.n)
+
+
 def train(rows: list[tuple[str | None, int]], how: Fit) -> np.ndarray:
-    """The weights after FTRL-proximal updates over the rows, in their order."""
-    z, n = np.zeros(1 << how.bits), np.zeros(1 << how.bits)
-    hasher = Hasher(how.bits)
+    """The weights after ``how.rounds`` times the rows, in their order."""
+    state = Ftrl(how)
     for _ in range(how.rounds):
         for text, label in rows:
-            i, x = hasher.vector(text)
-            zi, ni = z[i], n[i]
-            w = np.where(np.abs(zi) <= how.l1, 0, -(zi - np.sign(zi) * how.l1) / ((how.beta + np.sqrt(ni)) / how.alpha + how.l2))
-            g = (logistic(float(w @ x)) - label) * x
-            sigma = (np.sqrt(ni + g * g) - np.sqrt(ni)) / how.alpha
-            # a place may stand twice, once for each family
-            np.add.at(z, i, g - sigma * w)
-            np.add.at(n, i, g * g)
-    return np.where(np.abs(z) <= how.l1, 0, -(z - np.sign(z) * how.l1) / ((how.beta + np.sqrt(n)) / how.alpha + how.l2))
+            state.update(text, label)
+    return state.weights()
 
 
 def fit(docs: DataFrame, labels: DataFrame, how: Fit = Fit(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> np.ndarray:
@@ -129,14 +145,19 @@ def fit(docs: DataFrame, labels: DataFrame, how: Fit = Fit(), id_col: str = "doc
     sample = marked.orderBy("h", "id").limit(how.texts)  # bounded by how.texts, so it may be broadcast
     pairs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id").select("h", "id", "label", "text")
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["h", "id"], kind="stable")
-        w = train([*zip(pdf["text"], pdf["label"])], how)
+    def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = Ftrl(how)
+        for batch in batches:
+            for text, label in zip(batch.column(0), batch.column(1)):
+                state.update(text.as_py(), label.as_py())
+        w = state.weights()
         at = np.flatnonzero(w)
-        return pd.DataFrame({"place": at, "weight": w[at]})
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(w[at], pa.float64())], ["place", "weight"])
 
+    rounds = F.explode(F.sequence(F.lit(1), F.lit(how.rounds))).alias("round")
+    stream = pairs.select("*", rounds).repartition(1).sortWithinPartitions("round", "h", "id", "label", "text").select("text", "label")
     out = np.zeros(1 << how.bits)
-    got = pairs.groupBy(F.lit(0).alias("all")).applyInPandas(one, "place long, weight double").toPandas()
+    got = stream.mapInArrow(one, "place long, weight double").toPandas()
     out[got["place"].to_numpy(np.int64)] = got["weight"].to_numpy(float)
     return out
 

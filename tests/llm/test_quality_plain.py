@@ -94,3 +94,13 @@ def test_scores_and_odd_rows(spark):
     assert got == sorted((str(r.doc_id), round(plain(r.text), 9)) for r in rows)
     assert quality_model.score(docs.limit(0), weights).collect() == []
     assert not quality_model.fit(docs.limit(0), labels, how).any()
+
+
+def test_fit_streams_the_rows_in_the_order_of_the_hash(spark):
+    how = quality_model.Fit(texts=25, rounds=3)
+    docs = spark.createDataFrame([(k, text(k % 2)) for k in range(40)] + [(3, "again and again")], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, quality int")
+    hashes = {r[0]: r[1] for r in labels.selectExpr("doc_id", "xxhash64(cast(doc_id as string))").collect()}
+    taken = sorted(hashes, key=hashes.get)[:25]
+    rows = sorted((hashes[r.doc_id], r.doc_id, r.doc_id % 2, r.text) for r in docs.collect() if r.doc_id in taken)
+    assert np.array_equal(quality_model.fit(docs, labels, how), quality_model.train([(r[3], r[2]) for r in rows], how))
