@@ -1,6 +1,6 @@
 """Token-ID output: raw id files with a minimal perfect hash index.
 
-Documents are dealt by ranges of their key and sorted, and each task writes one shard: an ``.ids`` file that is nothing but little-endian ids (two
+Documents are dealt by ranges of their key, the more of them the larger the table, and sorted, and each task writes one shard: an ``.ids`` file that is nothing but little-endian ids (two
 bytes wide where the vocabulary allows, else four), each document ended by the end id, and an ``.idx`` file. The index has a minimal perfect hash from
 the shard's distinct keys to slots, and by slot a 16-bit fingerprint of the key and the run of documents that carry it, which are neighbours, and by document the
 place of its first id. A lookup hashes the key, checks the fingerprint and reads the slice: constant time, whatever the number of keys.
@@ -36,6 +36,8 @@ _SEED = np.uint64(0x9E3779B97F4A7C15)
 #: Bits of a level for each key that comes to it.
 GAMMA = 2
 LEVELS = 32
+#: Of a table as the optimizer estimates it, which for files is their size, for one shard.
+SHARD_BYTES = 512 << 20
 
 
 def mixed(keys: np.ndarray, seed: int) -> np.ndarray:
@@ -124,13 +126,23 @@ class Shard:
             return [self.ids(f, r) for r in range(int(first[0]), int(first[0] + count[0]))]
 
 
+def shard_count(rows: DataFrame) -> int | None:
+    """Shards of ``SHARD_BYTES`` each by the optimizer's estimate of the table's size, so that a shard stays as large whatever the table; None if Spark's number of shuffle
+    partitions is enough, which it may then coalesce. An estimate of over an exabyte is Spark's way to say that it doesn't know."""
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    n = -(-size // SHARD_BYTES)
+    return n if size < 1 << 60 and n > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def write(df: DataFrame, vocabulary: str, end_id: int, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes the shards below ``folder`` (a new one in the shared folder if None). Returns their table: ``shard, path, n_docs, n_tokens, low, high``, where ``shard``
     numbers them in key order and ``low`` and ``high`` are the least and greatest key."""
     spark = df.sparkSession
     ship(spark)
     folder = folder or new_shared_path(spark, "tokens")
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).repartitionByRange("id").sortWithinPartitions("id", "text")
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    n = shard_count(rows)
+    rows = (rows.repartitionByRange(n, "id") if n else rows.repartitionByRange("id")).sortWithinPartitions("id", "text")
 
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(vocabulary, False)

@@ -236,6 +236,16 @@ def test_token_files_query(spark, library):
     assert by_id(q.op4_token_files(spark, SF), "start", "n_tokens", "ids_crc32") == want
 
 
+def test_token_files_have_more_shards_for_a_larger_table(spark, monkeypatch, tmp_path):
+    docs(spark, [f"text {k}" for k in range(300)]).write.parquet(str(tmp_path / "docs"))
+    df = spark.read.parquet(str(tmp_path / "docs"))
+    few = token_files.read(spark, token_files.write(df, word_bpe(), 1)).collect()
+    assert token_files.shard_count(df.select("doc_id", "text")) is None
+    monkeypatch.setattr(token_files, "SHARD_BYTES", 512)
+    shards = token_files.write(df, word_bpe(), 1)
+    assert shards.count() > 4 and sorted(token_files.read(spark, shards).collect()) == sorted(few)
+
+
 def test_token_files_keyed_access_and_odd_rows(spark, library):
     df = docs(spark, ODD + ["again", "a twin"], [*range(0, 10 * len(ODD), 10), None, 20])
     shards = token_files.write(df, word_bpe(), 1)
