@@ -109,8 +109,10 @@ class RankArrayEncoder:
         self.inner = np.array([vocab[symbols[b]] for b in range(256)], np.int32)
         self.last = np.array([vocab[symbols[b] + end] for b in range(256)], np.int32)
         self.special_pattern = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        #: By stretch without white space: ids as little-endian 32-bit integers, ids as decimal text, decoded text.
-        self.table: dict[str, tuple[bytes, str, str]] = {}
+        #: Runs of ASCII letters are one match of the pattern.
+        self.letters_whole = bool(regex.search(r"\[?\\p\{L\}\]?\+", split))
+        #: By stretch without white space: ids as little-endian 32-bit integers, or these, the ids as decimal text and the decoded text.
+        self.table: dict[str, bytes | tuple[bytes, str, str]] = {}
 
     def merge_rows(self, parts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The contiguous rank arrays of equally long words at work. Yields rows' numbers and their final ids. Each step deletes one boundary of
@@ -159,14 +161,14 @@ class RankArrayEncoder:
                 heapq.heappush(heap, (r, before[i], p))
         return [i for i, a in zip(ids, alive) if a]
 
-    def words(self, words: Iterable[str]) -> dict[str, list[int]]:
-        """Ids of distinct words, each one match of the vocabulary's pattern."""
-        out: dict[str, list[int]] = {}
+    def words(self, words: Iterable[str]) -> dict[str, bytes]:
+        """Ids of distinct words, each one match of the vocabulary's pattern, as little-endian 32-bit integers."""
+        out: dict[str, bytes] = {}
         by_length: dict[int, tuple[list[str], list[bytes]]] = {}
         for w in words:
             b = w.encode("utf-8", "surrogatepass")
             if len(b) > SHORT_WORD:
-                out[w] = self.merge_long([*self.inner[np.frombuffer(b[:-1], np.uint8)].tolist(), int(self.last[b[-1]])])
+                out[w] = np.array(self.merge_long([*self.inner[np.frombuffer(b[:-1], np.uint8)].tolist(), int(self.last[b[-1]])]), "<u4").tobytes()
             else:
                 names, rows = by_length.setdefault(len(b), ([], []))
                 names.append(w)
@@ -178,8 +180,9 @@ class RankArrayEncoder:
                 parts = self.inner[raw]
                 parts[:, -1] = self.last[raw[:, -1]]
                 for at, ids in self.merge_rows(parts):
-                    for i, found in zip(at.tolist(), ids.tolist()):
-                        out[names[k + i]] = found
+                    found, wide = ids.astype("<u4").tobytes(), 4 * ids.shape[1]
+                    for n, i in enumerate(at.tolist()):
+                        out[names[k + i]] = found[n * wide : n * wide + wide]
         return out
 
     @staticmethod
@@ -194,25 +197,30 @@ class RankArrayEncoder:
         """Puts normalised stretches without white space in the table."""
         if not stretches:
             return
-        names = [*stretches]
+        whole = {w for w in stretches if w.isascii() and w.isalpha()} if self.letters_whole else set()
+        names = [*stretches.difference(whole)]
         pieces: list[list[str]] = [[]]
-        for p in self.pattern_or_space.findall(" ".join(names)):
+        for p in self.pattern_or_space.findall(" ".join(names)) if names else ():
             if p == " ":
                 pieces.append([])
             else:
                 pieces[-1].append(p)
-        ids = self.words({p for ps in pieces for p in ps})
+        ids = self.words(whole.union(*pieces))
+        found = {w: ids[w] for w in whole}
+        if names:
+            found.update((name, ids[ps[0]] if len(ps) == 1 else b"".join([ids[p] for p in ps])) for name, ps in zip(names, pieces, strict=True))
+        self.table.update(zip(found, map(self._told, found.values())) if self.as_text else found)
+
+    def _told(self, raw: bytes) -> tuple[bytes, str, str]:
+        ids = np.frombuffer(raw, "<u4").tolist()
         tokens = self.tokens
-        for name, ps in zip(names, pieces, strict=True):
-            found = ids[ps[0]] if len(ps) == 1 else [i for p in ps for i in ids[p]]
-            raw = np.array(found, "<u4").tobytes()
-            self.table[name] = (raw, " ".join(map(str, found)), " ".join([tokens[i] for i in found])) if self.as_text else (raw, "", "")
+        return raw, " ".join(map(str, ids)), " ".join([tokens[i] for i in ids])
 
     def _split(self, text: str) -> list[str]:
         text = self.normalize(text)
-        return regex.split(r"\s+", text.strip()) if _ODD_SPACE.search(text) else text.split()
+        return [w for w in regex.split(r"\s+", text) if w] if _ODD_SPACE.search(text) else text.split()
 
-    def parts(self, texts: list[str]) -> Iterator[list[tuple[bytes, str, str]]]:
+    def parts(self, texts: list[str]) -> Iterator[Iterator]:
         """Of each text the table's entries, in order."""
         at = 0
         while at < len(texts):
@@ -227,7 +235,7 @@ class RankArrayEncoder:
                     stretches.append([w for s in split for w in ([s] if s in self.special else self._split(s))])
                 else:
                     stretches.append(self._split(text))
-            new = {w for s in stretches for w in s if w}
+            new: set[str] = set().union(*stretches)
             if len(self.table) + len(new) > TABLE_ENTRIES * (1 if self.as_text else 2):
                 self.table.clear()
             new.difference_update(self.table)
@@ -237,10 +245,11 @@ class RankArrayEncoder:
             if collecting:
                 gc.enable()
             for s in new & self.special.keys():
-                self.table[s] = np.array([self.special[s]], "<u4").tobytes(), str(self.special[s]), s
-            table = self.table
+                raw = np.array([self.special[s]], "<u4").tobytes()
+                self.table[s] = (raw, str(self.special[s]), s) if self.as_text else raw
+            entry = self.table.__getitem__
             for s in stretches:
-                yield [table[w] for w in s if w]
+                yield map(entry, s)
 
     def forget(self) -> None:
         self.table = {}
@@ -248,7 +257,7 @@ class RankArrayEncoder:
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """Ids of each text, unsigned 32-bit."""
         for parts in self.parts([t or "" for t in texts]):
-            yield np.frombuffer(b"".join([p[0] for p in parts]), "<u4")
+            yield np.frombuffer(b"".join([p[0] for p in parts] if self.as_text else parts), "<u4")
 
     def decode(self, ids: Iterable[int] | None, skip_special_tokens: bool = False) -> str:
         """As the library decodes where the file names no decoder: tokens joined by spaces, unknown ids left out."""
@@ -289,7 +298,8 @@ def round_trip(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col:
     def f(batch: pa.RecordBatch) -> pa.RecordBatch:
         e = encoder(vocabulary)
         n, ids, back = [], [], []
-        for parts in e.parts(texts_of(batch, "text")):
+        for found in e.parts(texts_of(batch, "text")):
+            parts = [*found]
             n.append(sum([len(p[0]) for p in parts]) // 4)
             ids.append(hashlib.sha256(" ".join([p[1] for p in parts]).encode()).hexdigest())
             back.append(hashlib.sha256(" ".join([p[2] for p in parts]).encode("utf-8", "surrogatepass")).hexdigest())
